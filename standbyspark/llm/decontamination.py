@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-Tokens are lower-cased pieces between blanks without outer punctuation.  A mask keeps some of ``SPAN`` consecutive
+Tokens are lower-cased pieces between blanks; seeds take them as they are, the comparison drops outer punctuation.  A mask keeps some of ``SPAN`` consecutive
 token positions and ignores the others, so a seed still agrees when a token at an ignored position was substituted.
 Seed hashes of all documents are joined with those of the benchmark; each agreement fixes a diagonal (document
 position minus item position), on which the aligned tokens are compared: a pair counts if some window of
@@ -18,17 +18,24 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, fresh, small
 
-#: Kept positions of each mask (weight 7, span 10); a substitution at any one position spares one of the masks.
-MASKS = ((0, 1, 2, 4, 6, 7, 9), (0, 2, 3, 4, 5, 8, 9), (0, 1, 3, 5, 6, 8, 9))
+#: Kept positions of each mask (weight 7, span 10); a substitution at one position spares them at some shifts.
+MASKS = ((0, 1, 2, 4, 6, 7, 9), (0, 2, 3, 5, 6, 8, 9))
 SPAN, WINDOW, SHARE = 10, 13, 75
 _EDGE = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"
 
 
-def tokens(text: Column) -> Column:
-    plain = F.lower(text)
+def pieces(text: Column) -> Column:
+    """Lower-cased pieces between blanks."""
+    plain = F.lower(F.coalesce(text, F.lit("")))
     for blank in "\n\t\r\x0b\x0c":
         plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    return F.filter(F.transform(F.split(F.coalesce(plain, F.lit("")), " "), lambda x: F.btrim(x, F.lit(_EDGE))), lambda x: x != "")
+    # bound by a lambda so that the text is lower-cased once
+    return F.get(F.transform(F.array(plain), lambda p: F.when(F.contains(F.concat(F.lit(" "), p, F.lit(" ")), F.lit("  ")), F.filter(F.split(p, " "), lambda x: x != "")).otherwise(F.split(p, " "))), F.lit(0))
+
+
+def trimmed(pieces: Column) -> Column:
+    """The pieces without outer punctuation (those of punctuation alone as they are), in the same places."""
+    return F.transform(pieces, lambda x: F.coalesce(F.nullif(F.btrim(x, F.lit(_EDGE)), F.lit("")), x))
 
 
 def _seeds(t: Column) -> Column:
@@ -50,13 +57,14 @@ def _placed(df: DataFrame, *keys: str) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(k1, k2, doc_id, item_id, doc_pos, n_aligned, n_equal) for each contaminated pair, the best diagonal of each."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(2)).alias("k2"), "doc_id", tokens(F.col("text")).alias("t"))
-    items = checkpointed(benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"]))
+    keyed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(2)).alias("k2"), "doc_id", "text")
+    located = keyed.select("k1", "k2", pieces(F.col("text")).alias("t"))
+    items = checkpointed(benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), pieces(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"]))
     seeds = checkpointed(_placed(items, "item").withColumnRenamed("pos", "item_pos").distinct())
-    hits = _placed(keyed, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+    hits = _placed(located, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = checkpointed(hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "shift")).alias("hits")))
-    found = keyed.join(small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", F.col("t").alias("d"), F.explode("hits").alias("hit"))
-    pairs = found.select("k1", "k2", "doc_id", "d", "hit.item", "hit.shift").join(small(items.select("item", "item_id", F.col("t").alias("b"))), "item")
+    found = keyed.join(small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", trimmed(pieces(F.col("text"))).alias("d"), F.explode("hits").alias("hit"))
+    pairs = found.select("k1", "k2", "doc_id", "d", "hit.item", "hit.shift").join(small(items.select("item", "item_id", trimmed(F.col("t")).alias("b"))), "item")
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("b"), F.size("d") - F.col("shift")) - 1
     equal = F.transform(F.sequence(F.col("lo"), F.col("hi")), lambda j: (F.get(F.col("d"), j + F.col("shift")) == F.get(F.col("b"), j)).cast("int"))
     total = F.aggregate(F.col("eq"), F.array(F.lit(0)), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
