@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run; once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through ``spark.checkpoint.dir``; a folder of our own is used only where none is set."""
     context = df.sparkSession.sparkContext

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import crc_mod
+from .common import crc_mod, ship
 
 SAMPLE_SYMBOLS = 48_000  #: of each language's automaton
 SAMPLE_DOCS, SAMPLE_CHARS = 120, 3_000  #: about so many documents of a language are sampled, so much of each
@@ -178,6 +178,7 @@ def predictions(column: pa.Array, samples: tuple[tuple[str, bytes], ...]) -> tup
 
 def identified(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row of ``docs(doc_id, text, lang)``; rows with remainder 1 are not learned from."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
     samples = samples_of(docs.filter(~held_out))

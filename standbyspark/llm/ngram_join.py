@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import checkpointed, fresh, small
+from .common import checkpointed, fresh, ship, small
 
 _U = np.uint64
 BITS = 1024  #: of a bitmap signature
@@ -261,6 +261,7 @@ def linked(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Da
 
     n_copies counts the rows with the same set.
     """
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = checkpointed(with_sets(docs, width, "node", "n_shingles", drop_text=True))
     full = rows.filter("n_shingles > 0")
@@ -279,6 +280,7 @@ def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100)
 
     Rows without words all stay.  All columns of ``docs`` are returned unchanged; of a row repeated in full one stays.
     """
+    ship(docs.sparkSession)
     node, size = fresh(docs, "set_id"), fresh(docs, "set_size")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = with_sets(plain, width, "node", "n", drop_text=True).filter("n > 0")

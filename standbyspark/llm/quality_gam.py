@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import crc_mod, small
+from .common import crc_mod, ship, small
 from .quality_rules import _CODEPOINT, _DIGIT, _LOWER, _SHOUT, _SYMBOL, _UPPER, _mark, duplicate_lines, repeated_words
 
 SAMPLE_DOCS = 12_000  #: labelled documents that the tables are learned from, about
@@ -155,6 +155,8 @@ def learned(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Tables:
 def _featured(docs: DataFrame, keep: str) -> DataFrame:
     """(keep, f) with the feature row as an array; ``docs`` has the columns (keep, text)."""
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tk.slices(batch):
@@ -181,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> T
 
 def scored(docs: DataFrame, tables: Tables) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", held_out.alias("held_out"), "text")
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
+from .common import ship
 
 SAMPLE_ROWS = 2_000  #: rows on which cost and selectivity are estimated; any order gives the same verdicts
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -168,6 +169,7 @@ SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_line
 
 def apply(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Judge ``docs(doc_id, text)``: one row out for each row in."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [x[0] for x in measured_order([r.text for r in docs.select("text").limit(sample_rows).collect()], rules)]
 

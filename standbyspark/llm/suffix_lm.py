@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import checkpointed, crc_mod
+from .common import checkpointed, crc_mod, ship
 
 DEPTH = 5
 MIN_SHARE = 2e-5  #: at most 1 / MIN_SHARE contexts of a depth
@@ -234,6 +234,7 @@ def log_probabilities(symbols: np.ndarray, offsets: np.ndarray, model: Automaton
 
 def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
     counts = checkpointed(counted(docs.filter(~held_out)))
