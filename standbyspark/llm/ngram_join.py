@@ -9,9 +9,12 @@ whole cell and meet in a tile of the band of the larger one: candidates are comp
 that share a common passage do not meet unless a whole cell agrees.
 
 *Round 1* compares each member of a tile with the tile's least member only, which is linear in the members.
-*Round 2* takes the tiles whose members are not yet in one component and compares members of different components:
-hashed bitmap signatures first (bit counts bound the overlap from above), in blocks of bounded size, then the exact
-intersection of sorted arrays.  Pairs inside one component are never formed, and no link between components is lost.
+*Later rounds* take the tiles whose members are not yet in one component and compare members of different components
+by hashed bitmap signatures, whose bit counts bound the overlap from above, in blocks of bounded size.  A tile gives at
+most a spanning forest of the pairs that may link, so again a number linear in its members; exact intersections of
+sorted arrays confirm or refute them.  Refuted pairs are kept aside and the tiles that gave any pair come again, until
+no tile has a pair left that may link and was not refuted: no link between components is lost, and pairs inside a
+component are never formed.
 
 Defined results: a text without words (or null) has an empty set and no links; fewer words than the shingle width
 make one shingle; null ids and repeated rows are documents like others (an id is only reported, a component's id is
@@ -32,9 +35,9 @@ from . import textkit as tk
 from .common import checkpointed, fresh, ship, small
 
 _U = np.uint64
-BITS = 1024  #: of a bitmap signature
+BITS = 4096  #: of a bitmap signature
 SPARE = 2  #: cells beyond D + 1, so that a few empty cells do no harm
-BLOCK = 1024  #: members of a tile that are compared with as many others at a time
+BLOCK = 512  #: members of a tile that are compared with as many others at a time
 PAIRED = 12  #: tiles of up to so many members are paired by the JVM, larger ones by blocks
 
 
@@ -206,37 +209,82 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) of ``members(key, node, comp)`` between different components of a tile."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key", "size")
-    open_tiles = checkpointed(members.join(sizes, "key"))
-    few = open_tiles.filter(F.col("size") <= PAIRED)
-    pairs = few.alias("x").join(few.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.comp <> y.comp")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    many = open_tiles.filter(F.col("size") > PAIRED)
-    if many.limit(1).count() == 0:
-        return pairs.distinct()
+def _open_tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, comp, size) of the tiles of ``members(key, node)`` whose members are in several components."""
+    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    sizes = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key", "size")
+    return checkpointed(placed.join(sizes, "key"))
+
+
+def _few_pairs(tiles: DataFrame) -> DataFrame:
+    """All pairs (a, b) across components of tiles of a few members."""
+    return tiles.alias("x").join(tiles.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.comp <> y.comp")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _forest(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[list[int] | None], num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of one tile that may link and would join its components; ``own`` is i or j, the two blocks of the tile."""
+    node, comp, n = tile["node"], tile["comp"], tile["n"]
+    left, right = np.flatnonzero(tile["own"] == tile["i"]), np.flatnonzero(tile["own"] == tile["j"])
+    root = np.unique(comp, return_inverse=True)[1]
+    found = []
+    for x in left.tolist():
+        ys = right[root[right] != root[x]]
+        ys = ys[(n[ys] * den >= n[x] * num) & (n[x] * den >= n[ys] * num)]
+        if refuted[x] and len(ys):
+            ys = ys[~np.isin(node[ys], np.array(refuted[x], dtype=np.int64))]
+        if not len(ys):
+            continue
+        bound = overlap_bound(n[x], n[ys], bits[x], bits[ys])
+        spare = bound - -(-num * (n[x] + n[ys]) // (num + den))
+        for k in np.argsort(-spare, kind="stable").tolist():
+            if spare[k] < 0:
+                break
+            y = int(ys[k])
+            if root[y] != root[x]:
+                found.append((int(min(node[x], node[y])), int(max(node[x], node[y]))))
+                root[root == root[y]] = root[x]
+    return found
+
+
+def _many_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
+    """(key, a, b): of each tile a spanning forest of the pairs across components that may link."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = many.join(sets.select("node", "n", "bits"), "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "node", "comp", "n", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def tile(batch: pa.Table) -> pa.Table:
-        cols = {c: batch.column(c).to_numpy() for c in ("node", "comp", "n", "own", "i", "j")}
-        bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)
-        left, right = np.flatnonzero(cols["own"] == cols["i"]), np.flatnonzero(cols["own"] == cols["j"])
-        found_a, found_b = [], []
-        node, comp, n = cols["node"], cols["comp"], cols["n"]
-        for x in left.tolist():
-            ys = right[(comp[right] != comp[x]) & (node[right] > node[x] if cols["i"][0] == cols["j"][0] else True)]
-            ys = ys[(n[ys] * den >= n[x] * num) & (n[x] * den >= n[ys] * num)]
-            if len(ys):
-                ys = ys[overlap_bound(n[x], n[ys], bits[x], bits[ys]) >= -(-num * (n[x] + n[ys]) // (num + den))]
-                found_a.append(np.full(len(ys), node[x]))
-                found_b.append(node[ys])
-        a, b = (np.concatenate([np.empty(0, dtype=np.int64), *f]) for f in (found_a, found_b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return pairs.union(dealt.groupBy("key", "i", "j").applyInArrow(tile, "a long, b long")).distinct()
+    dealt = tiles.join(sets.select("node", "n", "bits"), "node")
+    if refuted is None:
+        dealt = dealt.withColumn("refuted", F.lit(None).cast("array<long>"))
+    else:
+        both = refuted.union(refuted.select("b", "a")).toDF("node", "other").groupBy("node").agg(F.collect_list("other").alias("refuted"))
+        dealt = dealt.join(both, "node", "left")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "bits", "refuted")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solved(rows: pa.Table) -> Iterator[tuple[int, int, int]]:
+            cols = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "comp", "n")}
+            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(rows.num_rows, -1)
+            gone = rows.column("refuted").to_pylist()
+            edge = (cols["key"][1:] != cols["key"][:-1]) | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])
+            cuts = [0, *(np.flatnonzero(edge) + 1).tolist(), rows.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                for a, b in _forest({c: v[lo:hi] for c, v in cols.items()}, bits[lo:hi], gone[lo:hi], num, den):
+                    yield int(cols["key"][lo]), a, b
+
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            found = list(solved(rows)) if rows.num_rows else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["key", "a", "b"])
+
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
+            last = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
+            start = int(last[-1]) + 1 if len(last) else 0
+            yield out(rows.slice(0, start))
+            held = rows.slice(start)
+        if held is not None:
+            yield out(held)
+
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "key long, a long, b long")
 
 
 def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -248,12 +296,25 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     sets = checkpointed(_set_table(docs, checkpointed(members.select("node").distinct()), width))
     pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = checkpointed(_verified(pairs, sets, num, den))
-    first = components(links)
-    placed = members.join(first, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    more = checkpointed(_verified(_across(placed, sets, num, den), sets, num, den))
-    if more.limit(1).count() == 0:
-        return first
-    return components(links.union(more))
+    labels = components(links)
+    tiles = _open_tiles(members.select("key", "node"), labels)
+    more = checkpointed(_verified(_few_pairs(tiles.filter(F.col("size") <= PAIRED)), sets, num, den))
+    if more.limit(1).count():
+        links = links.union(more)
+        labels = components(links)
+    members, refuted = tiles.filter(F.col("size") > PAIRED).select("key", "node"), None
+    while members.limit(1).count():
+        tiles = _open_tiles(members, labels)
+        may = checkpointed(_many_pairs(tiles, sets, refuted, num, den))
+        asked = may.select("a", "b").distinct()
+        good = checkpointed(_verified(asked, sets, num, den))
+        if good.limit(1).count():
+            links = links.union(good)
+            labels = components(links)
+        wrong = asked.join(good, ["a", "b"], "left_anti")
+        refuted = checkpointed(wrong if refuted is None else refuted.union(wrong))
+        members = checkpointed(tiles.join(may.select("key").distinct(), "key", "left_semi").select("key", "node"))
+    return labels
 
 
 def linked(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
