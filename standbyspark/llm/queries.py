@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, line_dedup, mixing, ngram_join, quality_rules, url_filter
+from . import decontamination, language_id, line_dedup, mixing, ngram_join, quality_gam, quality_rules, suffix_lm, toxicity, url_filter
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mixed(docs, mixing.WEIGHTS, mixing.OTHER)
@@ -29,6 +33,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "doc_pos", "n_aligned", "n_equal")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_gam.scored(docs, quality_gam.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(table(spark, sf_dir, "documents"))
 
@@ -40,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op3_source_mixing, op4_url_filter, op5_decontamination, op9_quality_rules, op10_line_dedup)
+    for f in (op1_ngram_jaccard_join, op2_language_id, op3_source_mixing, op4_url_filter, op5_decontamination, op6_toxicity, op7_quality_classifier, op8_lm_scoring, op9_quality_rules, op10_line_dedup)
 }
 
 #: DuckDB SQL with the same columns, where SQL can express the operator.
