@@ -197,13 +197,13 @@ def components(links: DataFrame) -> DataFrame:
     Least labels spread along the links and jump to their label's label, so the rounds grow with the logarithm
     of a component's width.
     """
-    both = checkpointed(links.union(links.select("b", "a")).toDF("a", "b").distinct())
-    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")))
+    both = checkpointed(links.union(links.select("b", "a")).toDF("a", "b").distinct(), narrow=True)
+    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), narrow=True)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
         spread = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.least("comp", "m").alias("new"), F.col("comp").alias("old"))
         jump = spread.select(F.col("node").alias("new"), F.col("new").alias("further"))
-        moved = checkpointed(spread.join(jump, "new").select("node", F.least("new", "further").alias("comp"), "old"))
+        moved = checkpointed(spread.join(jump, "new").select("node", F.least("new", "further").alias("comp"), "old"), narrow=True)
         labels = moved.select("node", "comp")
         if moved.filter("comp <> old").limit(1).count() == 0:
             return labels
@@ -213,7 +213,7 @@ def _open_tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, comp, size) of the tiles of ``members(key, node)`` whose members are in several components."""
     placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     sizes = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key", "size")
-    return checkpointed(placed.join(sizes, "key"))
+    return checkpointed(placed.join(sizes, "key"), narrow=True)
 
 
 def _few_pairs(tiles: DataFrame) -> DataFrame:
@@ -291,29 +291,29 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     """(node, comp) of all linked sets of ``docs(text)``."""
     members = _tile_members(docs, width, num, den)
     shared = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
-    shared = checkpointed(shared)
+    shared = checkpointed(shared, narrow=True)
     members = checkpointed(members.join(small(shared), "key").distinct())
-    sets = checkpointed(_set_table(docs, checkpointed(members.select("node").distinct()), width))
+    sets = checkpointed(_set_table(docs, checkpointed(members.select("node").distinct(), narrow=True), width))
     pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = checkpointed(_verified(pairs, sets, num, den))
+    links = checkpointed(_verified(pairs, sets, num, den), narrow=True)
     labels = components(links)
     tiles = _open_tiles(members.select("key", "node"), labels)
-    more = checkpointed(_verified(_few_pairs(tiles.filter(F.col("size") <= PAIRED)), sets, num, den))
+    more = checkpointed(_verified(_few_pairs(tiles.filter(F.col("size") <= PAIRED)), sets, num, den), narrow=True)
     if more.limit(1).count():
         links = links.union(more)
         labels = components(links)
     members, refuted = tiles.filter(F.col("size") > PAIRED).select("key", "node"), None
     while members.limit(1).count():
         tiles = _open_tiles(members, labels)
-        may = checkpointed(_many_pairs(tiles, sets, refuted, num, den))
+        may = checkpointed(_many_pairs(tiles, sets, refuted, num, den), narrow=True)
         asked = may.select("a", "b").distinct()
-        good = checkpointed(_verified(asked, sets, num, den))
+        good = checkpointed(_verified(asked, sets, num, den), narrow=True)
         if good.limit(1).count():
             links = links.union(good)
             labels = components(links)
         wrong = asked.join(good, ["a", "b"], "left_anti")
-        refuted = checkpointed(wrong if refuted is None else refuted.union(wrong))
-        members = checkpointed(tiles.join(may.select("key").distinct(), "key", "left_semi").select("key", "node"))
+        refuted = checkpointed(wrong if refuted is None else refuted.union(wrong), narrow=True)
+        members = checkpointed(tiles.join(may.select("key").distinct(), "key", "left_semi").select("key", "node"), narrow=True)
     return labels
 
 
