@@ -21,16 +21,17 @@ from .common import checkpointed, fresh, small
 #: Kept positions of each mask (weight 7, span 10); a substitution at one position spares them at some shifts.
 MASKS = ((0, 1, 2, 4, 6, 7, 9), (0, 2, 3, 5, 6, 8, 9))
 SPAN, WINDOW, SHARE = 10, 13, 75
+LITERAL_SEEDS = 60_000  #: a benchmark of at most so many seeds is also a filter on documents; a larger one only joins
 _EDGE = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"
 
 
 def pieces(text: Column) -> Column:
     """Lower-cased pieces between blanks."""
-    plain = F.lower(F.coalesce(text, F.lit("")))
+    plain = F.trim(F.lower(F.coalesce(text, F.lit(""))))
     for blank in "\n\t\r\x0b\x0c":
         plain = F.replace(plain, F.lit(blank), F.lit(" "))
     # bound by a lambda so that the text is lower-cased once
-    return F.get(F.transform(F.array(plain), lambda p: F.when(F.contains(F.concat(F.lit(" "), p, F.lit(" ")), F.lit("  ")), F.filter(F.split(p, " "), lambda x: x != "")).otherwise(F.split(p, " "))), F.lit(0))
+    return F.get(F.transform(F.array(plain), lambda p: F.when(F.contains(p, F.lit("  ")) | F.startswith(p, F.lit(" ")) | F.endswith(p, F.lit(" ")) | (p == ""), F.filter(F.split(p, " "), lambda x: x != "")).otherwise(F.split(p, " "))), F.lit(0))
 
 
 def trimmed(pieces: Column) -> Column:
@@ -49,6 +50,13 @@ def _seeds(t: Column) -> Column:
     return F.when(F.size(t) >= SPAN, F.concat(*per_mask))
 
 
+def _has_seed(listed: str) -> str:
+    """SQL over ``t``: whether one of its seeds is listed.  t is bound once, as a filter is moved below what makes t."""
+    at = f"sequence(0, size(b) - {SPAN})"
+    per_mask = [f"transform({at}, i -> xxhash64({salt}, {', '.join(f'get(b, i + {k})' for k in mask)}))" for salt, mask in enumerate(MASKS)]
+    return f"get(transform(array(t), b -> coalesce(exists(case when size(b) >= {SPAN} then concat({', '.join(per_mask)}) end, x -> x in ({listed})), false)), 0)"
+
+
 def _placed(df: DataFrame, *keys: str) -> DataFrame:
     """(keys, pos, h) for each seed of ``df(keys, t)``."""
     return df.select(*keys, (F.size("t") - (SPAN - 1)).alias("n"), F.posexplode(_seeds(F.col("t")))).select(*keys, (F.col("pos") % F.col("n")).alias("pos"), F.col("col").alias("h"))
@@ -59,10 +67,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(2)).alias("k2"), "doc_id", "text")
     located = keyed.select("k1", "k2", pieces(F.col("text")).alias("t"))
-    items = checkpointed(benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), pieces(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"]))
-    seeds = checkpointed(_placed(items, "item").withColumnRenamed("pos", "item_pos").distinct())
+    items = benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), pieces(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"])
+    seeds = _placed(items, "item").withColumnRenamed("pos", "item_pos").distinct()
+    values = [r["h"] for r in seeds.select("h").distinct().limit(LITERAL_SEEDS + 1).collect()]
+    if len(values) <= LITERAL_SEEDS:  # documents without any seed of the benchmark need not be spread out
+        listed = ",".join(f"{h}L" if h > -(1 << 63) else "(-9223372036854775807L - 1L)" for h in sorted(values)) or "null"
+        located = located.filter(F.expr(_has_seed(listed)))
     hits = _placed(located, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
-    hits = checkpointed(hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "shift")).alias("hits")))
+    hits = checkpointed(hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "shift")).alias("hits")), narrow=True)
     found = keyed.join(small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", trimmed(pieces(F.col("text"))).alias("d"), F.explode("hits").alias("hit"))
     pairs = found.select("k1", "k2", "doc_id", "d", "hit.item", "hit.shift").join(small(items.select("item", "item_id", trimmed(F.col("t")).alias("b"))), "item")
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("b"), F.size("d") - F.col("shift")) - 1
@@ -80,7 +92,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a contaminated pair, all columns unchanged."""
     k1, k2 = fresh(docs, "key_1"), fresh(docs, "key_2")
-    bad = checkpointed(matches(docs, benchmark).select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct())
+    bad = checkpointed(matches(docs, benchmark).select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), narrow=True)
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     keyed = docs.withColumn(k1, F.xxhash64(F.lit(1), doc_id, text)).withColumn(k2, F.xxhash64(text, doc_id, F.lit(2)))
     return keyed.join(small(bad), [k1, k2], "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
