@@ -6,7 +6,7 @@ next byte) and whole words.  A context is retained if it makes up at least ``MIN
 symbols diverge from those of its longest proper suffix (Kullback-Leibler divergence times count over
 ``MIN_BITS``).  Next-symbol distributions are smoothed towards the suffix's.  The retained contexts, closed under
 prefixes, make an automaton whose state is the longest retained suffix of what was read; scoring is two table look-ups
-a byte, for all blocks of a batch together.
+a byte, for all blocks of a batch together.  Next-word shares of known words smooth what the tree spells.
 
 The base score needs each token's training count.  Frequent words (at least ``WORD_SHARE`` of all tokens, so at most
 1 / WORD_SHARE of them) go to the workers; the others are joined by a shuffle.
@@ -17,9 +17,9 @@ alike and each counts; words are compared by 64-bit hashes; an empty table gives
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import checkpointed, crc_mod, ship
 
-DEPTH = 5
-MIN_SHARE = 2e-5  #: at most 1 / MIN_SHARE contexts of a depth
-MIN_BITS = 1e-6  #: of divergence, per counted position
-PRIOR = 8.0  #: weight of the suffix's distribution
+DEPTH = 6
+MIN_SHARE = 5e-6  #: at most 1 / MIN_SHARE contexts of a depth
+MIN_BITS = 2e-7  #: of divergence, per counted position
+PRIOR = 3.0  #: weight of the suffix's distribution
 WORD_SHARE = 4e-7
 BLOCK = 512
 CHUNK = 1 << 22  #: symbols that are counted at once
@@ -122,33 +122,34 @@ def counted(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "kind byte, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
-def retained(grams: DataFrame, positions: int) -> list[tuple[int, int, int]]:
-    """(depth << 56 | context, next, count) of the contexts that pass the tests, and of the empty context."""
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]  #: depth << 56 | context, next byte, count
+
+
+def retained(grams: DataFrame, positions: int) -> Counts:
+    """The counts of the contexts that pass the tests, and of the empty context."""
     nexts = F.col("code").bitwiseAND(F.lit(255))
-    found = []
+    found: list[pa.Table] = []
     parent = None
     for depth in range(DEPTH + 1):
         mask = (1 << 8 * depth) - 1
-        context = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(mask))
-        level = grams.groupBy(context.alias("ctx"), nexts.alias("nxt")).agg(F.sum("n").alias("n"))
+        level = grams.groupBy(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(mask)).alias("ctx"), nexts.alias("nxt")).agg(F.sum("n").alias("n"))
+        if depth:  # contexts that reach before the start of a text hold zero bytes; the end that stands there is enough
+            level = level.filter(F.shiftrightunsigned("ctx", 8 * (depth - 1)) != 0)
         totals = level.groupBy("ctx").agg(F.sum("n").alias("total")).filter(F.col("total") >= max(MIN_SHARE * positions, 2.0))
-        # contexts that reach before the start of a text hold zero bytes; the end that stands there is enough
-        level = level.join(totals, "ctx")
+        level = checkpointed(level.join(totals, "ctx"), narrow=True)  # at most 1 / MIN_SHARE contexts
+        good = level
         if depth:
-            level = level.filter(F.shiftrightunsigned("ctx", 8 * (depth - 1)) != 0)
             suffix = F.col("ctx").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1))
             above = parent.select(F.col("ctx").alias("suffix"), "nxt", F.col("n").alias("n_above"), F.col("total").alias("total_above"))
-            both = level.withColumn("suffix", suffix).join(above, ["suffix", "nxt"])
             bits = F.sum(F.col("n") * F.log2((F.col("n") / F.col("total")) / (F.col("n_above") / F.col("total_above"))))
-            good = both.groupBy("ctx").agg(bits.alias("bits")).filter(F.col("bits") >= MIN_BITS * positions).select("ctx")
-            found.append(level.join(good, "ctx").select(F.lit(depth).alias("depth"), "ctx", "nxt", "n"))
-        else:
-            found.append(level.select(F.lit(0).alias("depth"), "ctx", "nxt", "n"))
+            telling = level.withColumn("suffix", suffix).join(above, ["suffix", "nxt"]).groupBy("ctx").agg(bits.alias("bits")).filter(F.col("bits") >= MIN_BITS * positions)
+            good = level.join(telling.select("ctx"), "ctx", "left_semi")
+        found.append(good.select((F.lit(depth << 56) + F.col("ctx")).alias("ctx"), "nxt", "n").toArrow())
         parent = level
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    return sorted((r["depth"] << 56 | r["ctx"], r["nxt"], r["n"]) for r in rows.collect())
+    rows = pa.concat_tables(found)
+    ctx, nxt, n = (rows.column(c).to_numpy() for c in ("ctx", "nxt", "n"))
+    order = np.lexsort((nxt, ctx))
+    return ctx[order], nxt[order], n[order]
 
 
 @dataclass(frozen=True)
@@ -162,9 +163,9 @@ class Automaton:
     start: int
 
 
-@lru_cache(maxsize=1)
-def automaton(counts: tuple[tuple[int, int, int], ...]) -> Automaton:
-    root = {nxt: n for ctx, nxt, n in counts if ctx == 0}
+def automaton(counts: Counts) -> Automaton:
+    contexts, nexts, numbers = counts
+    root = dict(zip(nexts[contexts == 0].tolist(), numbers[contexts == 0].tolist(), strict=True))
     common = sorted({_END, _BLANK} | {b for b, _ in sorted(root.items(), key=lambda x: (-x[1], x[0]))[:110]})
     classes = np.full(256, len(common), dtype=np.int64)
     classes[common] = np.arange(len(common))
@@ -172,7 +173,7 @@ def automaton(counts: tuple[tuple[int, int, int], ...]) -> Automaton:
     rare = 256 - len(common)
     alone = np.where(classes == len(common), -np.log10(rare), 0.0)
     by_context: dict[tuple[int, ...], np.ndarray] = {}
-    for ctx, nxt, n in counts:
+    for ctx, nxt, n in zip(contexts.tolist(), nexts.tolist(), numbers.tolist(), strict=True):
         depth, code = ctx >> 56, ctx & (1 << 56) - 1
         key = tuple(int(classes[code >> 8 * i & 255]) for i in range(depth - 1, -1, -1))
         by_context.setdefault(key, np.zeros(width))[classes[nxt]] += n
@@ -180,7 +181,7 @@ def automaton(counts: tuple[tuple[int, int, int], ...]) -> Automaton:
     prefixes = {key[:i] for key in by_context for i in range(len(key) + 1)}
     order = sorted(prefixes, key=lambda k: (len(k), k))
     index = {key: i for i, key in enumerate(order)}
-    following, probs = np.zeros((len(order), width), dtype=np.int64), np.zeros((len(order), width))
+    following, probs = np.zeros((len(order), width), dtype=np.int32), np.zeros((len(order), width), dtype=np.float32)
     fail = np.zeros(len(order), dtype=np.int64)
     for key, i in index.items():
         own = by_context.get(key)
@@ -198,15 +199,26 @@ def automaton(counts: tuple[tuple[int, int, int], ...]) -> Automaton:
             if child is not None:
                 # a child is entered only after its own fail link is known: links lead to shorter keys
                 following[i, c] = child
-    return Automaton(following.ravel(), np.log10(probs).ravel(), classes, alone, index.get((int(classes[_END]),), 0))
+    return Automaton(following.ravel(), np.log10(probs, out=probs).ravel(), classes, alone, index.get((int(classes[_END]),), 0))
+
+
+_built: dict[str, Automaton] = {}
+
+
+def shared_automaton(name: str, counts: Counts) -> Automaton:
+    """The automaton of a run, built once in each worker."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = automaton(counts)
+    return _built[name]
 
 
 def log_probabilities(symbols: np.ndarray, offsets: np.ndarray, model: Automaton) -> np.ndarray:
-    """log10 probability of each row."""
+    """log10 probability of each symbol, after those before it in its row."""
     width = int(model.classes.max()) + 1
     n_blocks = -(-np.diff(offsets) // BLOCK)
     row = np.repeat(np.arange(len(n_blocks)), n_blocks)
-    out = np.zeros(len(n_blocks))
+    out = np.empty(len(symbols))
     if not len(row):
         return out
     first = np.repeat(offsets[:-1], n_blocks) + BLOCK * (np.arange(len(row)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks))
@@ -219,17 +231,48 @@ def log_probabilities(symbols: np.ndarray, offsets: np.ndarray, model: Automaton
         warm = model.following.take(warm * width + codes[first[inner] - back])
     state[inner] = warm
     order = np.argsort(-size, kind="stable")
-    row, first, size, state = row[order], first[order], size[order], state[order]
-    total = np.zeros(len(row))
+    first, size, state = first[order], size[order], state[order]
     active = len(row) - np.searchsorted(size[::-1], np.arange(size[0]), side="right")
     for t in range(int(size[0])):
         k = int(active[t])
-        at = state[:k] * width + codes[first[:k] + t]
-        total[:k] += model.logs.take(at)
+        place = first[:k] + t
+        at = state[:k] * width + codes[place]
+        out[place] = model.logs.take(at)
         state[:k] = model.following.take(at)
-    out = np.bincount(row, weights=total, minlength=len(out))
-    extra = np.concatenate([[0.0], np.cumsum(model.alone[symbols])])
-    return out + extra[offsets[1:]] - extra[offsets[:-1]]
+    return out + model.alone[symbols]
+
+
+def text_scores(symbol_logs: np.ndarray, offsets: np.ndarray, w: tk.Words, word_logs: np.ndarray, end_share: float, novelty: float) -> np.ndarray:
+    """log10 probability of each row under the whole model.
+
+    A unit is a word with the blank or end after it.  The tree spells every unit; a known word's share among the
+    training words (``word_logs``, -inf if unknown) smooths that at three weights, and the rows' probabilities under
+    the three are averaged, which is again a probability of token sequences.
+    """
+    n_rows = len(offsets) - 1
+    if not len(w.starts):
+        return symbol_logs
+    size = w.ends - w.starts + 1
+    filled = w.counts > 0
+    starts = np.cumsum(size) - size
+    shift = np.concatenate([[0], np.cumsum(~filled)])[:-1]  # ends of rows without words stand between the units
+    starts = starts + np.repeat(shift, w.counts)
+    spelled = np.add.reduceat(np.append(symbol_logs, 0.0), np.column_stack([starts, starts + size]).ravel())[::2]
+    row = w.row_of_word()
+    last = np.zeros(len(starts), dtype=bool)
+    last[w.rows[1:][filled] - 1] = True
+    named = word_logs + np.where(last, np.log10(max(end_share, 1e-12)), np.log10(max(1 - end_share, 1e-12)))
+    totals = []
+    for share in (0.0, 0.5, 1 - novelty):
+        own = spelled
+        if share > 0:
+            high = np.maximum(named, spelled)
+            with np.errstate(divide="ignore"):
+                own = high + np.log10(share * np.exp2((named - high) * np.log2(10)) + (1 - share) * np.exp2((spelled - high) * np.log2(10)))
+        totals.append(np.bincount(row, weights=own, minlength=n_rows))
+    best = np.max(totals, axis=0)
+    out = best + np.log10(np.mean(np.exp2((np.array(totals) - best) * np.log2(10)), axis=0))
+    return np.where(filled, out, symbol_logs[offsets[:-1]])
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -242,17 +285,22 @@ def scored(docs: DataFrame) -> DataFrame:
     facts = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).collect()}
     n_tokens, n_distinct = (facts[1]["total"], facts[1]["distinct"]) if 1 in facts else (0, 0)
     norm = float(np.log10(n_tokens + 0.5 * (n_distinct + 1)))
-    model = tuple(retained(counts.filter("kind = 0").select("code", "n"), facts[0]["total"])) if 0 in facts else ()
+    none = np.empty(0, dtype=np.int64)
+    model = retained(counts.filter("kind = 0").select("code", "n"), facts[0]["total"]) if 0 in facts else (none, none, none)
     least = max(WORD_SHARE * n_tokens, 1.0)
-    frequent = words.filter(F.col("n") >= least).toPandas()
-    order = np.argsort(frequent["code"].to_numpy().view(np.uint64)) if len(frequent) else np.empty(0, dtype=np.int64)
-    known = frequent["code"].to_numpy(dtype=np.int64).view(np.uint64)[order], np.log10(frequent["n"].to_numpy(dtype=float)[order] + 0.5)
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((model, known))
+    frequent = words.filter(F.col("n") >= least).toArrow()
+    codes = frequent.column("code").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    known = codes[order], np.log10(frequent.column("n").to_numpy().astype(float)[order] + 0.5)
+    n_ends = sum(r["n"] for r in words.filter(F.col("code") == int(END_WORD)).collect())
+    n_words = max(n_tokens - n_ends, 1)
+    once = words.filter("n = 1").count()
+    end_share, novelty = n_ends / (n_words + n_ends), min(max(once / n_words, 1e-4), 0.5)
+    shared, name = docs.sparkSession.sparkContext.broadcast((model, known)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, (codes, logs) = shared.value
-        own = automaton(tree)
+        own = shared_automaton(name, tree)
         for batch in batches:
             for part in tk.slices(batch):
                 w = tk.words(part.column(2))
@@ -263,10 +311,12 @@ def scored(docs: DataFrame) -> DataFrame:
                 hit = codes[at] == h if len(codes) else np.zeros(len(h), dtype=bool)
                 base = np.bincount(row[hit], weights=logs[at[hit]] if len(codes) else None, minlength=part.num_rows)
                 n_known = np.bincount(row[hit], minlength=part.num_rows)
+                named = np.where(hit, logs[at] - np.log10(n_words), -np.inf)[: len(w.starts)] if len(codes) else np.full(len(w.starts), -np.inf)
+                score = text_scores(log_probabilities(symbols, offsets, own), offsets, w, named, end_share, novelty)
                 miss = np.argsort(row[~hit], kind="stable")
                 rare, ends = h[~hit][miss].view(np.int64), np.concatenate([[0], np.cumsum(np.bincount(row[~hit], minlength=part.num_rows))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(w.counts + 1), pa.array(n_known), pa.array(base.astype(float)), pa.array(log_probabilities(symbols, offsets, own)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare))],
+                    [part.column(0), part.column(1), pa.array(w.counts + 1), pa.array(n_known), pa.array(base.astype(float)), pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare))],
                     names=["doc_id", "held_out", "n_tokens", "n_common", "base", "score", "rare"],
                 )
 
