@@ -169,26 +169,30 @@ def _set_table(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs (a, b) that link: by size, then by the bit counts of the signatures, and only then by their items."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            ba, bb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(len(a), -1) for i in (4, 5))
-            least = -(-num * (na + nb) // (num + den))
-            rows = np.flatnonzero(overlap_bound(na, nb, ba, bb) >= least)
+            bits_a, bits_b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(len(a), -1) for i in (4, 5))
+            rows = overlap_bound(na, nb, bits_a, bits_b) >= -(-num * (na + nb) // (num + den))
+            yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows])], names=["a", "b"])
+
+    def do(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             good = []
-            for i in rows.tolist():
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (6, 7))
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (2, 3))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if den * both >= num * (len(x) + len(y) - both):
                     good.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("items").alias("items_b"))
-    sized = pairs.join(left, "a").join(right, "b").filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    return sized.select("a", "b", "na", "nb", "bits_a", "bits_b", "items_a", "items_b").mapInArrow(run, "a long, b long")
+    side = lambda x, *cols: sets.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
+    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+    signed = sized.join(side("a", "bits"), "a").join(side("b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    likely = checkpointed(signed.mapInArrow(may, "a long, b long"), narrow=True)
+    return likely.join(side("a", "items"), "a").join(side("b", "items"), "b").select("a", "b", "items_a", "items_b").mapInArrow(do, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
