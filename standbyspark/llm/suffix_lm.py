@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import checkpointed, crc_mod, ship
 
-DEPTH = 6
+DEPTH = 5
 MIN_SHARE = 5e-6  #: at most 1 / MIN_SHARE contexts of a depth
 MIN_BITS = 2e-7  #: of divergence, per counted position
 PRIOR = 3.0  #: weight of the suffix's distribution
