@@ -10,11 +10,11 @@ that share a common passage do not meet unless a whole cell agrees.
 
 *Round 1* compares each member of a tile with the tile's least member only, which is linear in the members.
 *Later rounds* take the tiles whose members are not yet in one component and compare members of different components
-by hashed bitmap signatures, whose bit counts bound the overlap from above, in blocks of bounded size.  A tile gives at
-most a spanning forest of the pairs that may link, so again a number linear in its members; exact intersections of
-sorted arrays confirm or refute them.  Refuted pairs are kept aside and the tiles that gave any pair come again, until
-no tile has a pair left that may link and was not refuted: no link between components is lost, and pairs inside a
-component are never formed.
+by hashed bitmap signatures, whose bit counts bound the overlap from above, in blocks of bounded size.  A tile gives the
+pairs that may link, or if these are many a spanning forest of them, so again a number linear in its members; exact
+intersections of sorted arrays confirm or refute them.  Refuted pairs are kept aside and the tiles that gave a forest
+come again, until every tile has given all its pairs: no link between components is lost, and pairs inside a component
+are never formed.
 
 Defined results: a text without words (or null) has an empty set and no links; fewer words than the shingle width
 make one shingle; null ids and repeated rows are documents like others (an id is only reported, a component's id is
@@ -38,7 +38,7 @@ _U = np.uint64
 BITS = 4096  #: of a bitmap signature
 SPARE = 2  #: cells beyond D + 1, so that a few empty cells do no harm
 BLOCK = 512  #: members of a tile that are compared with as many others at a time
-PAIRED = 12  #: tiles of up to so many members are paired by the JVM, larger ones by blocks
+DENSE = 2  #: pairs a member up to which a tile gives all its pairs that may link, else a forest of them
 
 
 def _ladder(most: int = 1 << 40) -> np.ndarray:
@@ -220,38 +220,41 @@ def _open_tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
     return checkpointed(placed.join(sizes, "key"), narrow=True)
 
 
-def _few_pairs(tiles: DataFrame) -> DataFrame:
-    """All pairs (a, b) across components of tiles of a few members."""
-    return tiles.alias("x").join(tiles.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.comp <> y.comp")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[list[int] | None], num: int, den: int) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of one tile across components that may link, and whether these are all.
 
-
-def _forest(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[list[int] | None], num: int, den: int) -> list[tuple[int, int]]:
-    """Pairs of one tile that may link and would join its components; ``own`` is i or j, the two blocks of the tile."""
+    ``own`` is i or j, the two blocks of the tile.  Up to ``DENSE`` pairs a member all are given; else a forest of
+    them, likeliest first, that would join the components.
+    """
     node, comp, n = tile["node"], tile["comp"], tile["n"]
     left, right = np.flatnonzero(tile["own"] == tile["i"]), np.flatnonzero(tile["own"] == tile["j"])
     root = np.unique(comp, return_inverse=True)[1]
-    found = []
+    same = tile["i"][0] == tile["j"][0]
+    near: list[tuple[int, np.ndarray, np.ndarray]] = []
     for x in left.tolist():
         ys = right[root[right] != root[x]]
+        if same:
+            ys = ys[node[ys] > node[x]]
         ys = ys[(n[ys] * den >= n[x] * num) & (n[x] * den >= n[ys] * num)]
         if refuted[x] and len(ys):
             ys = ys[~np.isin(node[ys], np.array(refuted[x], dtype=np.int64))]
-        if not len(ys):
-            continue
-        bound = overlap_bound(n[x], n[ys], bits[x], bits[ys])
-        spare = bound - -(-num * (n[x] + n[ys]) // (num + den))
-        for k in np.argsort(-spare, kind="stable").tolist():
-            if spare[k] < 0:
-                break
-            y = int(ys[k])
-            if root[y] != root[x]:
+        if len(ys):
+            spare = overlap_bound(n[x], n[ys], bits[x], bits[ys]) - -(-num * (n[x] + n[ys]) // (num + den))
+            if (spare >= 0).any():
+                near.append((x, ys[spare >= 0], spare[spare >= 0]))
+    whole = sum(len(ys) for _, ys, _ in near) <= DENSE * len(node)
+    found = []
+    for x, ys, spare in near:
+        for y in ys[np.argsort(-spare, kind="stable")].tolist():
+            if whole or root[y] != root[x]:
                 found.append((int(min(node[x], node[y])), int(max(node[x], node[y]))))
-                root[root == root[y]] = root[x]
-    return found
+                if not whole:
+                    root[root == root[y]] = root[x]
+    return found, whole
 
 
-def _many_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
-    """(key, a, b): of each tile a spanning forest of the pairs across components that may link."""
+def _tile_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
+    """(key, a, b, whole): of each tile the pairs across components that may link, or a forest of them if they are many."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = tiles.join(sets.select("node", "n", "bits"), "node")
     if refuted is None:
@@ -263,19 +266,20 @@ def _many_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, nu
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "bits", "refuted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(rows: pa.Table) -> Iterator[tuple[int, int, int]]:
+        def solved(rows: pa.Table) -> Iterator[tuple[int, int, int, bool]]:
             cols = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "comp", "n")}
             bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(rows.num_rows, -1)
             gone = rows.column("refuted").to_pylist()
             edge = (cols["key"][1:] != cols["key"][:-1]) | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])
             cuts = [0, *(np.flatnonzero(edge) + 1).tolist(), rows.num_rows]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                for a, b in _forest({c: v[lo:hi] for c, v in cols.items()}, bits[lo:hi], gone[lo:hi], num, den):
-                    yield int(cols["key"][lo]), a, b
+                pairs, whole = _candidates({c: v[lo:hi] for c, v in cols.items()}, bits[lo:hi], gone[lo:hi], num, den)
+                for a, b in pairs:
+                    yield int(cols["key"][lo]), a, b, whole
 
         def out(rows: pa.Table) -> pa.RecordBatch:
             found = list(solved(rows)) if rows.num_rows else []
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["key", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64() if k < 3 else pa.bool_()) for k in range(4)], names=["key", "a", "b", "whole"])
 
         held: pa.Table | None = None
         for batch in batches:
@@ -288,7 +292,7 @@ def _many_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, nu
         if held is not None:
             yield out(held)
 
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "key long, a long, b long")
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "key long, a long, b long, whole boolean")
 
 
 def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -301,24 +305,21 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = checkpointed(_verified(pairs, sets, num, den), narrow=True)
     labels = components(links)
-    tiles = _open_tiles(members.select("key", "node"), labels)
-    more = checkpointed(_verified(_few_pairs(tiles.filter(F.col("size") <= PAIRED)), sets, num, den), narrow=True)
-    if more.limit(1).count():
-        links = links.union(more)
-        labels = components(links)
-    members, refuted = tiles.filter(F.col("size") > PAIRED).select("key", "node"), None
-    while members.limit(1).count():
+    members, refuted = members.select("key", "node"), None
+    while True:
         tiles = _open_tiles(members, labels)
-        may = checkpointed(_many_pairs(tiles, sets, refuted, num, den), narrow=True)
+        may = checkpointed(_tile_pairs(tiles, sets, refuted, num, den), narrow=True)
         asked = may.select("a", "b").distinct()
         good = checkpointed(_verified(asked, sets, num, den), narrow=True)
         if good.limit(1).count():
             links = links.union(good)
             labels = components(links)
+        again = may.filter("not whole").select("key").distinct()
+        if again.limit(1).count() == 0:
+            return labels
         wrong = asked.join(good, ["a", "b"], "left_anti")
         refuted = checkpointed(wrong if refuted is None else refuted.union(wrong), narrow=True)
-        members = checkpointed(tiles.join(may.select("key").distinct(), "key", "left_semi").select("key", "node"), narrow=True)
-    return labels
+        members = checkpointed(tiles.join(again, "key", "left_semi").select("key", "node"), narrow=True)
 
 
 def linked(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
