@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-Tokens are lower-cased pieces between blanks; seeds take them as they are, the comparison drops outer punctuation.  A mask keeps some of ``SPAN`` consecutive
+Tokens are lower-cased pieces between blanks without outer punctuation (seeds drop the usual marks, the comparison
+all).  A mask keeps some of ``SPAN`` consecutive
 token positions and ignores the others, so a seed still agrees when a token at an ignored position was substituted.
 Seed hashes of all documents are joined with those of the benchmark; each agreement fixes a diagonal (document
 position minus item position), on which the aligned tokens are compared: a pair counts if some window of
@@ -22,16 +23,16 @@ from .common import checkpointed, fresh, small
 MASKS = ((0, 1, 2, 4, 6, 7, 9), (0, 2, 3, 5, 6, 8, 9))
 SPAN, WINDOW, SHARE = 10, 13, 75
 LITERAL_SEEDS = 60_000  #: a benchmark of at most so many seeds is also a filter on documents; a larger one only joins
+_USUAL = ".,;:!?\"()"  #: few, as each is tried on each end of each token
 _EDGE = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"
 
 
 def pieces(text: Column) -> Column:
-    """Lower-cased pieces between blanks."""
-    plain = F.trim(F.lower(F.coalesce(text, F.lit(""))))
+    """Lower-cased pieces between blanks, without the usual outer punctuation; none is empty."""
+    plain = F.lower(F.coalesce(text, F.lit("")))
     for blank in "\n\t\r\x0b\x0c":
         plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    # bound by a lambda so that the text is lower-cased once
-    return F.get(F.transform(F.array(plain), lambda p: F.when(F.contains(p, F.lit("  ")) | F.startswith(p, F.lit(" ")) | F.endswith(p, F.lit(" ")) | (p == ""), F.filter(F.split(p, " "), lambda x: x != "")).otherwise(F.split(p, " "))), F.lit(0))
+    return F.filter(F.transform(F.split(plain, " "), lambda x: F.btrim(x, F.lit(_USUAL))), lambda x: x != "")
 
 
 def trimmed(pieces: Column) -> Column:
