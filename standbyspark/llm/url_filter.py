@@ -61,13 +61,15 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confi
     """(rule_id, items, confidence, support) from ``labelled(tokens, bad)``."""
     baskets = checkpointed(labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0))
     total = baskets.count()
-    if total == 0 or baskets.filter(F.array_contains("items", _BAD)).limit(1).count() == 0:
+    n_bad = baskets.filter(F.array_contains("items", _BAD)).count()
+    if n_bad == 0:
         return baskets.sparkSession.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
     # a rule needs support among the bad baskets, so only their tokens can take part
     usable = baskets.filter(F.array_contains("items", _BAD)).select(F.explode("items").alias("item")).groupBy("item").count().filter(F.col("count") >= max(min_support * total, MIN_COUNT))
     per_item = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("all"))
-    # tokens of most baskets tell nothing and make the lattice large
-    usable = usable.join(per_item, "item").filter((F.col("item") == _BAD) | (F.col("all") < 0.3 * total)).select("item")
+    # common tokens that are no more frequent among bad urls tell nothing and make the lattice large
+    telling = (F.col("all") < 0.6 * total) | (F.col("count") * total > 1.3 * F.col("all") * n_bad)
+    usable = usable.join(per_item, "item").filter((F.col("item") == _BAD) | telling).select("item")
     kept = {r.item for r in usable.collect()}  # at most tokens-a-basket / min_support values
     narrowed = baskets.select(F.array_intersect("items", F.array(*(F.lit(x) for x in sorted(kept)))).alias("items"))
     frequent = checkpointed(FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(narrowed).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
