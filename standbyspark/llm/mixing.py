@@ -67,8 +67,9 @@ def mixed(docs: DataFrame, weights: dict[str, int], other: int, block_rows: int
     grp, bucket, order, rank = (fresh(docs, x) for x in ("mix_grp", "mix_bucket", "mix_order", "mix_rank"))
     added = [fresh(docs, x) for x in ("mix_group", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_pos")]
     buckets = max(1, math.isqrt(docs.select("source").count()))
-    placed = docs.withColumn(grp, group_of).withColumn(order, F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")))
-    placed = placed.withColumn(bucket, F.shiftright(F.shiftrightunsigned(F.col(order), 32) * F.lit(buckets), 32).cast("int"))
+    placed = docs.withColumn(grp, group_of).withColumn(order, F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
+    lead = F.conv(F.substring(order, 1, 8), 16, 10).cast("long")
+    placed = placed.withColumn(bucket, F.shiftright(lead * F.lit(buckets), 32).cast("int"))
     counts = checkpointed(placed.groupBy(grp, bucket).agg(F.count("*").alias("n")))
     totals = {r[grp]: r["n"] for r in counts.groupBy(grp).agg(F.sum("n").alias("n")).collect()}
     ahead = Window.partitionBy(grp).orderBy(bucket)
