@@ -36,10 +36,10 @@ def ship(spark: SparkSession) -> None:
 def checkpointed(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Cut the lineage through ``spark.checkpoint.dir``; a folder of our own is used only where none is set.
 
-    ``narrow`` is for tables with few bytes a row: they go to an eighth of the shuffle partitions, so to fewer files.
+    ``narrow`` is for tables with few bytes a row: they go to a quarter of the shuffle partitions, so to fewer files.
     """
     if narrow:
-        df = df.coalesce(max(6, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+        df = df.coalesce(max(6, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
