@@ -49,8 +49,11 @@ def covered(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS) -
     return spans.select("k1", "k2", F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s.lo, s.hi))))).alias("cut"))
 
 
-def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
-    """``docs`` with the later occurrences cut out of ``text``; ``counts`` names added columns (lines, lines removed)."""
+def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS, counts: tuple[str, str] | None = None, drop_emptied: bool = False) -> DataFrame:
+    """``docs`` with the later occurrences cut out of ``text``; ``counts`` names added columns (lines, lines removed).
+
+    A text of which nothing but blanks is left is kept unless ``drop_emptied``; a text that was blank before always is.
+    """
     k1, k2, cut = (fresh(docs, x) for x in ("key_1", "key_2", "cut_lines"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     gone = covered(plain, width, long_words).toDF(k1, k2, cut)
@@ -63,4 +66,6 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WOR
     if counts:
         total = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
         out += [total.cast("long").alias(counts[0]), F.coalesce(F.size(F.col(cut)), F.lit(0)).cast("long").alias(counts[1])]
+    if drop_emptied:
+        joined = joined.filter(F.col(cut).isNull() | (F.btrim(text, F.lit(" \t\r\n\x0b\x0c")) != ""))
     return joined.select(out)

@@ -38,6 +38,12 @@ def test_line_dedup_equals_plain(make, seed):
     assert {r["doc_id"]: r["lines"] - r["gone"] for r in got.collect() if r["gone"] < r["lines"]} == {d: len(t.split("\n")) for d, t in found.items() if d in {r["doc_id"] for r in got.collect() if r["gone"] < r["lines"]}}
 
 
+def test_emptied_texts_go_only_if_asked(make):
+    rows = [(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "a\nb\nc\nd"), (4, ""), (5, None), (6, "a")]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(make(rows)).collect()} == {1: "a\nb\nc", 2: "", 3: "d", 4: "", 5: None, 6: "a"}
+    assert {r["doc_id"] for r in line_dedup.deduplicated(make(rows), drop_emptied=True).collect()} == {1, 3, 4, 5, 6}
+
+
 def test_line_dedup_odd_rows(odd):
     out = line_dedup.deduplicated(odd)
     assert out.columns == odd.columns and sorted(map(str, out.collect())) == sorted(map(str, odd.collect()))
