@@ -14,8 +14,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated line windows are cut out of the texts."""
-    return line_dedup.deduplicated(docs)
+    """Later occurrences of repeated line windows are cut out of the texts; texts of which nothing is left go."""
+    return line_dedup.deduplicated(docs, drop_emptied=True)
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
