@@ -24,7 +24,7 @@ Set identity and shingle identity are 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from . import textkit as tk
 from .common import checkpointed, fresh, ship, small
 
 _U = np.uint64
-BITS = 4096  #: of a bitmap signature
+BITS = 2048  #: of a bitmap signature
 SPARE = 2  #: cells beyond D + 1, so that a few empty cells do no harm
 BLOCK = 512  #: members of a tile that are compared with as many others at a time
 DENSE = 2  #: pairs a member up to which a tile gives all its pairs that may link, else a forest of them
@@ -146,53 +146,76 @@ def _tile_members(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, node long")
 
 
-def _set_table(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, n, bits, items) of the wanted nodes."""
+class _Sets:
+    """Signatures of the sets that share a tile, and the items of those that a signature could not tell apart.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for part in tk.slices(batch):
-                h, ptr = sets_of(part.column(0), width)
-                ids = set_ids(h, ptr).tolist()
-                rows = []
-                for i, node in enumerate(ids):
-                    if ptr[i + 1] > ptr[i] and node not in seen:
-                        seen.add(node)
-                        rows.append(i)
-                if rows:
-                    own = [h[ptr[i] : ptr[i + 1]] for i in rows]
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in rows], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["node", "n", "bits", "items"])
-
-    found = docs.select("text").mapInArrow(run, "node long, n long, bits binary, items binary")
-    return found.join(small(wanted), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("items").alias("items"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link: by size, then by the bit counts of the signatures, and only then by their items."""
-
-    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            bits_a, bits_b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(len(a), -1) for i in (4, 5))
-            rows = overlap_bound(na, nb, bits_a, bits_b) >= -(-num * (na + nb) // (num + den))
-            yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows])], names=["a", "b"])
-
-    def do(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (2, 3))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if den * both >= num * (len(x) + len(y) - both):
-                    good.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+    Items are read from the texts again when a pair first needs them, so most sets' items are never moved.
+    """
 
-    side = lambda x, *cols: sets.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-    signed = sized.join(side("a", "bits"), "a").join(side("b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    likely = checkpointed(signed.mapInArrow(may, "a long, b long"), narrow=True)
-    return likely.join(side("a", "items"), "a").join(side("b", "items"), "b").select("a", "b", "items_a", "items_b").mapInArrow(do, "a long, b long")
+    def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, num: int, den: int):
+        self.docs, self.width, self.num, self.den = docs, width, num, den
+        self.signed = checkpointed(self._read(nodes, "bits binary", bitmap))
+        self.items: DataFrame | None = None
+
+    def _read(self, wanted: DataFrame, column: str, encode: Callable[[np.ndarray], bytes]) -> DataFrame:
+        """(node, n, column) of the wanted nodes."""
+        width, name = self.width, column.split()[0]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for batch in batches:
+                for part in tk.slices(batch):
+                    h, ptr = sets_of(part.column(0), width)
+                    ids = set_ids(h, ptr).tolist()
+                    rows = []
+                    for i, node in enumerate(ids):
+                        if ptr[i + 1] > ptr[i] and node not in seen:
+                            seen.add(node)
+                            rows.append(i)
+                    if rows:
+                        own = [h[ptr[i] : ptr[i + 1]] for i in rows]
+                        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in rows], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([encode(x) for x in own], pa.binary())], names=["node", "n", name])
+
+        found = self.docs.select("text").mapInArrow(run, f"node long, n long, {column}")
+        return found.join(small(wanted), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first(name).alias(name))
+
+    def _itemised(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select("a").union(pairs.select("b")).toDF("node").distinct()
+        new = checkpointed(nodes if self.items is None else nodes.join(self.items, "node", "left_anti"), narrow=True)
+        if self.items is None or new.limit(1).count():
+            more = checkpointed(self._read(new, "items binary", np.ndarray.tobytes))
+            self.items = more if self.items is None else self.items.union(more)
+        return self.items
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link: by size, then by the bit counts of the signatures, and only then by their items."""
+        num, den = self.num, self.den
+
+        def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
+                bits_a, bits_b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(len(a), -1) for i in (4, 5))
+                rows = overlap_bound(na, nb, bits_a, bits_b) >= -(-num * (na + nb) // (num + den))
+                yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows])], names=["a", "b"])
+
+        def do(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = []
+                for i in range(batch.num_rows):
+                    x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (2, 3))
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if den * both >= num * (len(x) + len(y) - both):
+                        good.append(i)
+                yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+        side = lambda df, x, *cols: df.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
+        sized = pairs.join(side(self.signed, "a", "n"), "a").join(side(self.signed, "b", "n"), "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+        signed = sized.join(side(self.signed, "a", "bits"), "a").join(side(self.signed, "b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        likely = checkpointed(signed.mapInArrow(may, "a long, b long"), narrow=True)
+        if likely.limit(1).count() == 0:
+            return likely
+        items = self._itemised(likely)
+        return likely.join(side(items, "a", "items"), "a").join(side(items, "b", "items"), "b").select("a", "b", "items_a", "items_b").mapInArrow(do, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -253,10 +276,10 @@ def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[lis
     return found, whole
 
 
-def _tile_pairs(tiles: DataFrame, sets: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
+def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
     """(key, a, b, whole): of each tile the pairs across components that may link, or a forest of them if they are many."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = tiles.join(sets.select("node", "n", "bits"), "node")
+    dealt = tiles.join(signed, "node")
     if refuted is None:
         dealt = dealt.withColumn("refuted", F.lit(None).cast("array<long>"))
     else:
@@ -301,16 +324,16 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     shared = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
     shared = checkpointed(shared, narrow=True)
     members = checkpointed(members.join(small(shared), "key").distinct())
-    sets = checkpointed(_set_table(docs, checkpointed(members.select("node").distinct(), narrow=True), width))
+    sets = _Sets(docs, checkpointed(members.select("node").distinct(), narrow=True), width, num, den)
     pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = checkpointed(_verified(pairs, sets, num, den), narrow=True)
+    links = checkpointed(sets.verified(pairs), narrow=True)
     labels = components(links)
     members, refuted = members.select("key", "node"), None
     while True:
         tiles = _open_tiles(members, labels)
-        may = checkpointed(_tile_pairs(tiles, sets, refuted, num, den), narrow=True)
+        may = checkpointed(_tile_pairs(tiles, sets.signed, refuted, num, den), narrow=True)
         asked = may.select("a", "b").distinct()
-        good = checkpointed(_verified(asked, sets, num, den), narrow=True)
+        good = checkpointed(sets.verified(asked), narrow=True)
         if good.limit(1).count():
             links = links.union(good)
             labels = components(links)
