@@ -8,8 +8,7 @@ Documents become sets of hashed word shingles.  Equal sets are one node.  Two se
 whole cell and meet in a tile of the band of the larger one: candidates are complete, and unrelated documents
 that share a common passage do not meet unless a whole cell agrees.
 
-*Round 1* compares each member of a tile with the tile's least member only, which is linear in the members.
-*Later rounds* take the tiles whose members are not yet in one component and compare members of different components
+*Rounds.*  Each takes the tiles whose members are not yet in one component and compares members of different components
 by hashed bitmap signatures, whose bit counts bound the overlap from above, in blocks of bounded size.  A tile gives the
 pairs that may link, or if these are many a spanning forest of them, so again a number linear in its members; exact
 intersections of sorted arrays confirm or refute them.  Refuted pairs are kept aside and the tiles that gave a forest
@@ -35,7 +34,7 @@ from . import textkit as tk
 from .common import checkpointed, fresh, ship, small
 
 _U = np.uint64
-BITS = 2048  #: of a bitmap signature
+BITS = 1024  #: of a bitmap signature
 SPARE = 2  #: cells beyond D + 1, so that a few empty cells do no harm
 BLOCK = 512  #: members of a tile that are compared with as many others at a time
 DENSE = 2  #: pairs a member up to which a tile gives all its pairs that may link, else a forest of them
@@ -294,8 +293,18 @@ def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None,
             bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(rows.num_rows, -1)
             gone = rows.column("refuted").to_pylist()
             edge = (cols["key"][1:] != cols["key"][:-1]) | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])
-            cuts = [0, *(np.flatnonzero(edge) + 1).tolist(), rows.num_rows]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            cuts = np.concatenate([[0], np.flatnonzero(edge) + 1, [rows.num_rows]])
+            twos = cuts[:-1][np.diff(cuts) == 2]  # tiles of two members, all together
+            twos = twos[cols["comp"][twos] != cols["comp"][twos + 1]]
+            na, nb = cols["n"][twos], cols["n"][twos + 1]
+            likely = twos[(overlap_bound(na, nb, bits[twos], bits[twos + 1]) >= -(-num * (na + nb) // (num + den))) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)]
+            for x in likely.tolist():
+                a, b = int(cols["node"][x]), int(cols["node"][x + 1])
+                if b not in (gone[x] or ()):
+                    yield int(cols["key"][x]), min(a, b), max(a, b), True
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if hi - lo == 2:
+                    continue
                 pairs, whole = _candidates({c: v[lo:hi] for c, v in cols.items()}, bits[lo:hi], gone[lo:hi], num, den)
                 for a, b in pairs:
                     yield int(cols["key"][lo]), a, b, whole
@@ -321,14 +330,11 @@ def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None,
 def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """(node, comp) of all linked sets of ``docs(text)``."""
     members = _tile_members(docs, width, num, den)
-    shared = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
-    shared = checkpointed(shared, narrow=True)
-    members = checkpointed(members.join(small(shared), "key").distinct())
+    shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    members = checkpointed(members.join(small(checkpointed(shared, narrow=True)), "key").distinct())
     sets = _Sets(docs, checkpointed(members.select("node").distinct(), narrow=True), width, num, den)
-    pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = checkpointed(sets.verified(pairs), narrow=True)
-    labels = components(links)
-    members, refuted = members.select("key", "node"), None
+    empty = docs.sparkSession.createDataFrame([], "a long, b long")
+    links, labels, refuted = empty, empty.toDF("node", "comp"), None
     while True:
         tiles = _open_tiles(members, labels)
         may = checkpointed(_tile_pairs(tiles, sets.signed, refuted, num, den), narrow=True)
