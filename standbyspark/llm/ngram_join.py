@@ -98,6 +98,25 @@ def bitmap(h: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def wide_bitmap(h: np.ndarray) -> bytes:
+    """A signature of two bits or more an item, its length a power of two, so that a longer one folds onto a shorter one."""
+    size = 1 << max(10, int(2 * len(h) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(tk.mix(h + _U(0xB17)) & _U(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def wide_bound(n_a: int, n_b: int, a: bytes, b: bytes) -> int:
+    """``overlap_bound`` from two wide signatures."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    size = 8 * max(len(a), len(b))
+    while size > 8 * min(len(a), len(b)):
+        size //= 2
+        low = (1 << size) - 1
+        x, y = (x & low) | (x >> size), (y & low) | (y >> size)
+    return min((n_a + n_b - (x ^ y).bit_count()) // 2, n_a, n_b)
+
+
 def overlap_bound(sizes_a: np.ndarray, sizes_b: np.ndarray, bits_a: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
     """Upper bound of the intersections: each differing bit is a shingle of one side only."""
     differ = np.bitwise_count(bits_a ^ bits_b).sum(axis=-1, dtype=np.int64)
@@ -153,12 +172,12 @@ class _Sets:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, width: int, num: int, den: int):
         self.docs, self.width, self.num, self.den = docs, width, num, den
-        self.signed = checkpointed(self._read(nodes, "bits binary", bitmap))
+        self.signed = checkpointed(self._read(nodes, {"bits": bitmap, "wide": wide_bitmap}))
         self.items: DataFrame | None = None
 
-    def _read(self, wanted: DataFrame, column: str, encode: Callable[[np.ndarray], bytes]) -> DataFrame:
-        """(node, n, column) of the wanted nodes."""
-        width, name = self.width, column.split()[0]
+    def _read(self, wanted: DataFrame, encode: dict[str, Callable[[np.ndarray], bytes]]) -> DataFrame:
+        """(node, n, the encoded columns) of the wanted nodes."""
+        width, names = self.width, list(encode)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -173,29 +192,28 @@ class _Sets:
                             rows.append(i)
                     if rows:
                         own = [h[ptr[i] : ptr[i + 1]] for i in rows]
-                        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in rows], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array([encode(x) for x in own], pa.binary())], names=["node", "n", name])
+                        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in rows], pa.int64()), pa.array([len(x) for x in own], pa.int64()), *(pa.array([f(x) for x in own], pa.binary()) for f in encode.values())], names=["node", "n", *names])
 
-        found = self.docs.select("text").mapInArrow(run, f"node long, n long, {column}")
-        return found.join(small(wanted), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first(name).alias(name))
+        found = self.docs.select("text").mapInArrow(run, "node long, n long, " + ", ".join(f"{c} binary" for c in names))
+        return found.join(small(wanted), "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ["n", *names]))
 
     def _itemised(self, pairs: DataFrame) -> DataFrame:
         nodes = pairs.select("a").union(pairs.select("b")).toDF("node").distinct()
         new = checkpointed(nodes if self.items is None else nodes.join(self.items, "node", "left_anti"), narrow=True)
         if self.items is None or new.limit(1).count():
-            more = checkpointed(self._read(new, "items binary", np.ndarray.tobytes))
+            more = checkpointed(self._read(new, {"items": np.ndarray.tobytes}))
             self.items = more if self.items is None else self.items.union(more)
         return self.items
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link: by size, then by the bit counts of the signatures, and only then by their items."""
+        """The pairs (a, b) that link: by the bit counts of wide signatures, which tell long texts apart, then by their items."""
         num, den = self.num, self.den
 
         def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-                bits_a, bits_b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint64).reshape(len(a), -1) for i in (4, 5))
-                rows = overlap_bound(na, nb, bits_a, bits_b) >= -(-num * (na + nb) // (num + den))
-                yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[rows])], names=["a", "b"])
+                n_a, n_b, wide_a, wide_b = (batch.column(i).to_pylist() for i in range(2, 6))
+                good = [i for i, (x, y) in enumerate(zip(n_a, n_b, strict=True)) if wide_bound(x, y, wide_a[i], wide_b[i]) >= -(-num * (x + y) // (num + den))]
+                yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
         def do(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -208,9 +226,8 @@ class _Sets:
                 yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
         side = lambda df, x, *cols: df.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-        sized = pairs.join(side(self.signed, "a", "n"), "a").join(side(self.signed, "b", "n"), "b").filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-        signed = sized.join(side(self.signed, "a", "bits"), "a").join(side(self.signed, "b", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        likely = checkpointed(signed.mapInArrow(may, "a long, b long"), narrow=True)
+        signed = pairs.join(side(self.signed, "a", "n", "wide"), "a").join(side(self.signed, "b", "n", "wide"), "b")
+        likely = checkpointed(signed.select("a", "b", "n_a", "n_b", "wide_a", "wide_b").mapInArrow(may, "a long, b long"), narrow=True)
         if likely.limit(1).count() == 0:
             return likely
         items = self._itemised(likely)
@@ -278,7 +295,7 @@ def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[lis
 def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
     """(key, a, b, whole): of each tile the pairs across components that may link, or a forest of them if they are many."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = tiles.join(signed, "node")
+    dealt = tiles.join(signed.select("node", "n", "bits"), "node")
     if refuted is None:
         dealt = dealt.withColumn("refuted", F.lit(None).cast("array<long>"))
     else:
