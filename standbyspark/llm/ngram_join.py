@@ -34,7 +34,6 @@ from . import textkit as tk
 from .common import checkpointed, fresh, ship, small
 
 _U = np.uint64
-BITS = 1024  #: of a bitmap signature
 SPARE = 2  #: cells beyond D + 1, so that a few empty cells do no harm
 BLOCK = 512  #: members of a tile that are compared with as many others at a time
 DENSE = 2  #: pairs a member up to which a tile gives all its pairs that may link, else a forest of them
@@ -92,22 +91,29 @@ def cell_keys(h: np.ndarray, n: int, num: int, den: int) -> list[np.ndarray]:
     return out
 
 
-def bitmap(h: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[(tk.mix(h + _U(0xB17)) % _U(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
-
-
-def wide_bitmap(h: np.ndarray) -> bytes:
-    """A signature of two bits or more an item, its length a power of two, so that a longer one folds onto a shorter one."""
-    size = 1 << max(10, int(2 * len(h) - 1).bit_length())
+def bitmap(h: np.ndarray, per_item: float = 0.75) -> bytes:
+    """A hashed signature of ``per_item`` bits an item or more, its length a power of two, so that a longer one folds onto a shorter one."""
+    size = 1 << max(10, int(np.ceil(np.log2(max(len(h) * per_item, 1)))))
     bits = np.zeros(size, dtype=np.uint8)
     bits[(tk.mix(h + _U(0xB17)) & _U(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def wide_bitmap(h: np.ndarray) -> bytes:
+    return bitmap(h, 2.0)
+
+
+def matrix(signatures: list[bytes]) -> np.ndarray:
+    """The signatures as rows of one length, longer ones folded onto the shortest."""
+    size = min(map(len, signatures))
+    out = np.zeros((len(signatures), size), dtype=np.uint8)
+    for row, signature in zip(out, signatures, strict=True):
+        np.bitwise_or.reduce(np.frombuffer(signature, dtype=np.uint8).reshape(-1, size), axis=0, out=row)
+    return out.view(np.uint64)
+
+
 def wide_bound(n_a: int, n_b: int, a: bytes, b: bytes) -> int:
-    """``overlap_bound`` from two wide signatures."""
+    """``overlap_bound`` from two signatures of any lengths."""
     x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
     size = 8 * max(len(a), len(b))
     while size > 8 * min(len(a), len(b)):
@@ -259,10 +265,10 @@ def _open_tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
     return checkpointed(placed.join(sizes, "key"), narrow=True)
 
 
-def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[list[int] | None], num: int, den: int) -> tuple[list[tuple[int, int]], bool]:
+def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[list[int] | None], num: int, den: int, dense: int) -> tuple[list[tuple[int, int]], bool]:
     """Pairs of one tile across components that may link, and whether these are all.
 
-    ``own`` is i or j, the two blocks of the tile.  Up to ``DENSE`` pairs a member all are given; else a forest of
+    ``own`` is i or j, the two blocks of the tile.  Up to ``dense`` pairs a member all are given; else a forest of
     them, likeliest first, that would join the components.
     """
     node, comp, n = tile["node"], tile["comp"], tile["n"]
@@ -281,7 +287,7 @@ def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[lis
             spare = overlap_bound(n[x], n[ys], bits[x], bits[ys]) - -(-num * (n[x] + n[ys]) // (num + den))
             if (spare >= 0).any():
                 near.append((x, ys[spare >= 0], spare[spare >= 0]))
-    whole = sum(len(ys) for _, ys, _ in near) <= DENSE * len(node)
+    whole = sum(len(ys) for _, ys, _ in near) <= dense * len(node)
     found = []
     for x, ys, spare in near:
         for y in ys[np.argsort(-spare, kind="stable")].tolist():
@@ -292,7 +298,7 @@ def _candidates(tile: dict[str, np.ndarray], bits: np.ndarray, refuted: list[lis
     return found, whole
 
 
-def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None, num: int, den: int) -> DataFrame:
+def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None, num: int, den: int, dense: int) -> DataFrame:
     """(key, a, b, whole): of each tile the pairs across components that may link, or a forest of them if they are many."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = tiles.join(signed.select("node", "n", "bits"), "node")
@@ -307,22 +313,23 @@ def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(rows: pa.Table) -> Iterator[tuple[int, int, int, bool]]:
             cols = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "comp", "n")}
-            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(rows.num_rows, -1)
+            bits = rows.column("bits").to_pylist()
             gone = rows.column("refuted").to_pylist()
             edge = (cols["key"][1:] != cols["key"][:-1]) | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])
             cuts = np.concatenate([[0], np.flatnonzero(edge) + 1, [rows.num_rows]])
             twos = cuts[:-1][np.diff(cuts) == 2]  # tiles of two members, all together
             twos = twos[cols["comp"][twos] != cols["comp"][twos + 1]]
             na, nb = cols["n"][twos], cols["n"][twos + 1]
-            likely = twos[(overlap_bound(na, nb, bits[twos], bits[twos + 1]) >= -(-num * (na + nb) // (num + den))) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)]
+            likely = twos[np.minimum(na, nb) * den >= np.maximum(na, nb) * num]
             for x in likely.tolist():
                 a, b = int(cols["node"][x]), int(cols["node"][x + 1])
-                if b not in (gone[x] or ()):
+                n_a, n_b = int(cols["n"][x]), int(cols["n"][x + 1])
+                if b not in (gone[x] or ()) and wide_bound(n_a, n_b, bits[x], bits[x + 1]) >= -(-num * (n_a + n_b) // (num + den)):
                     yield int(cols["key"][x]), min(a, b), max(a, b), True
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if hi - lo == 2:
                     continue
-                pairs, whole = _candidates({c: v[lo:hi] for c, v in cols.items()}, bits[lo:hi], gone[lo:hi], num, den)
+                pairs, whole = _candidates({c: v[lo:hi] for c, v in cols.items()}, matrix(bits[lo:hi]), gone[lo:hi], num, den, dense)
                 for a, b in pairs:
                     yield int(cols["key"][lo]), a, b, whole
 
@@ -351,10 +358,10 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
     members = checkpointed(members.join(small(checkpointed(shared, narrow=True)), "key").distinct())
     sets = _Sets(docs, checkpointed(members.select("node").distinct(), narrow=True), width, num, den)
     empty = docs.sparkSession.createDataFrame([], "a long, b long")
-    links, labels, refuted = empty, empty.toDF("node", "comp"), None
+    links, labels, refuted, dense = empty, empty.toDF("node", "comp"), None, DENSE
     while True:
         tiles = _open_tiles(members, labels)
-        may = checkpointed(_tile_pairs(tiles, sets.signed, refuted, num, den), narrow=True)
+        may = checkpointed(_tile_pairs(tiles, sets.signed, refuted, num, den, dense), narrow=True)
         asked = may.select("a", "b").distinct()
         good = checkpointed(sets.verified(asked), narrow=True)
         if good.limit(1).count():
@@ -366,6 +373,7 @@ def node_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
         wrong = asked.join(good, ["a", "b"], "left_anti")
         refuted = checkpointed(wrong if refuted is None else refuted.union(wrong), narrow=True)
         members = checkpointed(tiles.join(again, "key", "left_semi").select("key", "node"), narrow=True)
+        dense *= 8  # a tile whose forest was refuted gives more the next time, so rounds grow with the logarithm of its size
 
 
 def linked(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:

@@ -87,8 +87,8 @@ def test_overlap_bound_is_above():
     rng = random.Random(3)
     for _ in range(50):
         sets = [np.array(sorted(rng.sample(range(3000), rng.randrange(1, 900))), dtype=np.uint64) for _ in range(2)]
-        bits = [np.frombuffer(nj.bitmap(s), dtype=np.uint64) for s in sets]
-        assert nj.overlap_bound(np.array([len(sets[0])]), np.array([len(sets[1])]), bits[0][None], bits[1][None])[0] >= len(np.intersect1d(*sets))
+        bits = nj.matrix([nj.bitmap(s) for s in sets])
+        assert nj.overlap_bound(np.array([len(sets[0])]), np.array([len(sets[1])]), bits[:1], bits[1:])[0] >= len(np.intersect1d(*sets))
         wide = [nj.wide_bitmap(s) for s in sets]
         assert min(map(len, sets)) >= nj.wide_bound(len(sets[0]), len(sets[1]), *wide) >= len(np.intersect1d(*sets))
 
