@@ -8,8 +8,9 @@ symbols diverge from those of its longest proper suffix (Kullback-Leibler diverg
 prefixes, make an automaton whose state is the longest retained suffix of what was read; scoring is two table look-ups
 a byte, for all blocks of a batch together.  Next-word shares of known words smooth what the tree spells.
 
-The base score needs each token's training count.  Frequent words (at least ``WORD_SHARE`` of all tokens, so at most
-1 / WORD_SHARE of them) go to the workers; the others are joined by a shuffle.
+Both scores need each token's training count.  Frequent words (at least ``WORD_SHARE`` of all tokens, so at most
+1 / WORD_SHARE of them) go to the workers; occurrences of the others are joined by a shuffle, with what the tree gives
+their spelling, and added to the texts' sums after that, so every training word is known to both scores.
 
 Defined results: null texts are empty texts (one end symbol); null ids are training rows; repeated rows are scored
 alike and each counts; words are compared by 64-bit hashes; an empty table gives an empty result.
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -36,6 +37,7 @@ PRIOR = 3.0  #: weight of the suffix's distribution
 WORD_SHARE = 4e-7
 BLOCK = 512
 CHUNK = 1 << 22  #: symbols that are counted at once
+SUMS = ("spelled_sum", "half_sum", "named_sum")  #: a text's log10 probability at each share of names
 END_WORD = np.int64(0x454E44)
 _U = np.uint64
 _END, _BLANK = 0x0A, 0x20
@@ -242,37 +244,52 @@ def log_probabilities(symbols: np.ndarray, offsets: np.ndarray, model: Automaton
     return out + model.alone[symbols]
 
 
-def text_scores(symbol_logs: np.ndarray, offsets: np.ndarray, w: tk.Words, word_logs: np.ndarray, end_share: float, novelty: float) -> np.ndarray:
-    """log10 probability of each row under the whole model.
+def mixture_shares(novelty: float) -> tuple[float, ...]:
+    return 0.0, 0.5, 1 - novelty
 
-    A unit is a word with the blank or end after it.  The tree spells every unit; a known word's share among the
-    training words (``word_logs``, -inf if unknown) smooths that at three weights, and the rows' probabilities under
-    the three are averaged, which is again a probability of token sequences.
-    """
-    n_rows = len(offsets) - 1
+
+def unit_logs(symbol_logs: np.ndarray, offsets: np.ndarray, w: tk.Words, end_share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit, a word with the blank or end after it: (log10 of its spelling by the tree, log10 of the share of such ends)."""
+    filled = w.counts > 0
     if not len(w.starts):
-        return symbol_logs
+        return np.empty(0), np.empty(0)
     size = w.ends - w.starts + 1
-    filled = w.counts > 0
     starts = np.cumsum(size) - size
     shift = np.concatenate([[0], np.cumsum(~filled)])[:-1]  # ends of rows without words stand between the units
     starts = starts + np.repeat(shift, w.counts)
     spelled = np.add.reduceat(np.append(symbol_logs, 0.0), np.column_stack([starts, starts + size]).ravel())[::2]
-    row = w.row_of_word()
     last = np.zeros(len(starts), dtype=bool)
     last[w.rows[1:][filled] - 1] = True
-    named = word_logs + np.where(last, np.log10(max(end_share, 1e-12)), np.log10(max(1 - end_share, 1e-12)))
-    totals = []
-    for share in (0.0, 0.5, 1 - novelty):
+    return spelled, np.where(last, np.log10(max(end_share, 1e-12)), np.log10(max(1 - end_share, 1e-12)))
+
+
+def mixture_sums(spelled: np.ndarray, named: np.ndarray, row: np.ndarray, n_rows: int, novelty: float) -> np.ndarray:
+    """Per share of names and row, the log10 probability of the row's units."""
+    sums = []
+    for share in mixture_shares(novelty):
         own = spelled
         if share > 0:
             high = np.maximum(named, spelled)
             with np.errstate(divide="ignore"):
                 own = high + np.log10(share * np.exp2((named - high) * np.log2(10)) + (1 - share) * np.exp2((spelled - high) * np.log2(10)))
-        totals.append(np.bincount(row, weights=own, minlength=n_rows))
+        sums.append(np.bincount(row, weights=own, minlength=n_rows))
+    return np.array(sums, dtype=float)
+
+
+def text_scores(symbol_logs: np.ndarray, offsets: np.ndarray, w: tk.Words, word_logs: np.ndarray, end_share: float, novelty: float) -> np.ndarray:
+    """log10 probability of each row under the whole model.
+
+    The tree spells every unit; a known word's share among the training words (``word_logs``, -inf if unknown) smooths
+    that at three weights, and the rows' probabilities under the three are averaged, which is again a probability of
+    token sequences.
+    """
+    spelled, after = unit_logs(symbol_logs, offsets, w, end_share)
+    if not len(spelled):
+        return symbol_logs
+    totals = mixture_sums(spelled, word_logs + after, w.row_of_word(), len(offsets) - 1, novelty)
     best = np.max(totals, axis=0)
-    out = best + np.log10(np.mean(np.exp2((np.array(totals) - best) * np.log2(10)), axis=0))
-    return np.where(filled, out, symbol_logs[offsets[:-1]])
+    out = best + np.log10(np.mean(np.exp2((totals - best) * np.log2(10)), axis=0))
+    return np.where(w.counts > 0, out, symbol_logs[offsets[:-1]])
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -311,19 +328,42 @@ def scored(docs: DataFrame) -> DataFrame:
                 hit = codes[at] == h if len(codes) else np.zeros(len(h), dtype=bool)
                 base = np.bincount(row[hit], weights=logs[at[hit]] if len(codes) else None, minlength=part.num_rows)
                 n_known = np.bincount(row[hit], minlength=part.num_rows)
-                named = np.where(hit, logs[at] - np.log10(n_words), -np.inf)[: len(w.starts)] if len(codes) else np.full(len(w.starts), -np.inf)
-                score = text_scores(log_probabilities(symbols, offsets, own), offsets, w, named, end_share, novelty)
-                miss = np.argsort(row[~hit], kind="stable")
-                rare, ends = h[~hit][miss].view(np.int64), np.concatenate([[0], np.cumsum(np.bincount(row[~hit], minlength=part.num_rows))])
+                symbol_logs, n = log_probabilities(symbols, offsets, own), len(w.starts)
+                spelled, after = unit_logs(symbol_logs, offsets, w, end_share)
+                common = hit[:n]
+                named = logs[at[:n][common]] - np.log10(n_words) + after[common] if len(codes) else np.empty(0)
+                sums = mixture_sums(spelled[common], named, row[:n][common], part.num_rows, novelty)
+                # of a seldom word's mixture, the share of its end can be taken out beforehand
+                sums += np.bincount(row[:n][~common], weights=after[~common], minlength=part.num_rows)
+                bare = np.flatnonzero(w.counts == 0)
+                sums[:, bare] = symbol_logs[offsets[bare]]
+                miss = np.flatnonzero(~hit)[np.argsort(row[~hit], kind="stable")]
+                relative = np.append(spelled - after, np.zeros(part.num_rows))[miss]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row[~hit], minlength=part.num_rows))])
+                rare = pa.StructArray.from_arrays([pa.array(h[miss].view(np.int64)), pa.array(relative, mask=miss >= n)], names=["code", "spelled"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(w.counts + 1), pa.array(n_known), pa.array(base.astype(float)), pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare))],
-                    names=["doc_id", "held_out", "n_tokens", "n_common", "base", "score", "rare"],
+                    [part.column(0), part.column(1), pa.array(w.counts + 1), pa.array(n_known), pa.array(base.astype(float)), *(pa.array(x.astype(float)) for x in sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)],
+                    names=["doc_id", "held_out", "n_tokens", "n_common", "base", *SUMS, "rare"],
                 )
 
-    rows = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_common long, base double, score double, rare array<long>")
+    sums_type = ", ".join(f"{c} double" for c in SUMS)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, f"doc_id long, held_out boolean, n_tokens long, n_common long, base double, {sums_type}, rare array<struct<code:long,spelled:double>>")
     rows = checkpointed(rows).withColumn("row", F.monotonically_increasing_id())
-    spread = rows.select("row", F.explode("rare").alias("code")).groupBy("row", "code").agg(F.count("*").alias("times"))
+    spread = rows.select("row", F.inline("rare"))
     seldom = words.filter(F.col("n") < least)
     unseen = F.log10(F.lit(0.5))
-    rest = spread.join(seldom, "code", "left").groupBy("row").agg(F.sum(F.col("times") * F.coalesce(F.log10(F.col("n") + 0.5), unseen)).alias("rest"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_rest"))
-    return rows.join(rest, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rest", F.lit(0))).alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0)) - F.col("n_tokens") * norm).alias("base_score"), "score")
+    name_log = F.log10(F.col("n") + 0.5) - F.lit(float(np.log10(n_words)))
+
+    def mixed(share: float) -> Column:
+        if share == 0:
+            return F.col("spelled")
+        high = F.greatest(name_log, F.col("spelled"))
+        both = high + F.log10(share * F.pow(F.lit(10.0), name_log - high) + (1 - share) * F.pow(F.lit(10.0), F.col("spelled") - high))
+        return F.when(F.col("n").isNull(), F.col("spelled") + float(np.log10(1 - share))).otherwise(both)
+
+    totals = [F.sum(F.when(F.col("spelled").isNotNull(), mixed(share))).alias(f"rest_{c}") for c, share in zip(SUMS, mixture_shares(novelty), strict=True)]
+    rest = spread.join(seldom, "code", "left").groupBy("row").agg(F.sum(F.coalesce(F.log10(F.col("n") + 0.5), unseen)).alias("rest"), F.count("n").alias("n_rest"), *totals)
+    whole = rows.drop("rare").join(rest, "row", "left").select("*", *((F.col(c) + F.coalesce(f"rest_{c}", F.lit(0.0))).alias(f"whole_{c}") for c in SUMS))
+    best = F.greatest(*(F.col(f"whole_{c}") for c in SUMS))
+    score = F.col("best") + F.log10(sum((F.pow(F.lit(10.0), F.col(f"whole_{c}") - F.col("best")) for c in SUMS), F.lit(0.0)) / len(SUMS))
+    return whole.withColumn("best", best).select("doc_id", "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rest", F.lit(0))).alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0)) - F.col("n_tokens") * norm).alias("base_score"), score.alias("score"))

@@ -255,6 +255,17 @@ def test_score_is_a_probability_of_units(spark):
         assert math.isclose(got[i], math.log10(sum(10**x for x in totals) / 3), rel_tol=1e-9)
 
 
+def test_seldom_words_count_as_known_in_the_score(make, monkeypatch):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice(["the", "of", "cat", f"r{rng.randrange(40)}", f"q{rng.randrange(4000)}"]) for _ in range(rng.randrange(30)))) for i in range(120)] + [(500, None)]
+    scores = []
+    for share in (4e-7, 0.01, 0.9):  # all words are frequent, some, none
+        monkeypatch.setattr(suffix_lm, "WORD_SHARE", share)
+        scores.append({r["doc_id"]: r["score"] for r in suffix_lm.scored(make(rows)).collect()})
+    for d, score in scores[0].items():
+        assert all(math.isclose(s[d], score, rel_tol=1e-9) for s in scores)
+
+
 def test_scoring_edges(odd):
     out = suffix_lm.scored(odd).collect()
     assert len(out) == odd.count() and all(r["score"] <= 0 and r["n_known"] <= r["n_tokens"] for r in out)
