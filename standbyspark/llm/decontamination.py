@@ -1,8 +1,9 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
 Tokens are lower-cased pieces between blanks without outer punctuation (seeds drop the usual marks, the comparison
-all).  A mask keeps some of ``SPAN`` consecutive
-token positions and ignores the others, so a seed still agrees when a token at an ignored position was substituted.
+all).  A mask keeps some of consecutive token positions and ignores the others, so a seed still agrees when a token
+at an ignored position was substituted.  However the substitutions fall that the comparison accepts, some mask at
+some shift inside the window keeps none of them; tests enumerate all of them.
 Seed hashes of all documents are joined with those of the benchmark; each agreement fixes a diagonal (document
 position minus item position), on which the aligned tokens are compared: a pair counts if some window of
 ``WINDOW`` aligned tokens (the whole item, if shorter) agrees in at least ``SHARE`` percent of them.
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, fresh, small
 
-#: Kept positions of each mask (weight 7, span 10); a substitution at one position spares them at some shifts.
-MASKS = ((0, 1, 2, 4, 6, 7, 9), (0, 2, 3, 5, 6, 8, 9))
+#: Kept positions of each mask: every 13 aligned tokens of which 10 agree have a seed.
+MASKS = ((0, 2, 6, 7, 8), (0, 1, 2, 4, 5), (0, 1, 2, 5, 8))
+#: Used too if there are items of 10 to 12 tokens, for which the others leave a few cases out.
+SHORT_MASK = (0, 1, 3, 4)
 SPAN, WINDOW, SHARE = 10, 13, 75
 LITERAL_SEEDS = 60_000  #: a benchmark of at most so many seeds is also a filter on documents; a larger one only joins
 _USUAL = ".,;:!?\"()"  #: few, as each is tried on each end of each token
@@ -40,27 +43,25 @@ def trimmed(pieces: Column) -> Column:
     return F.transform(pieces, lambda x: F.coalesce(F.nullif(F.btrim(x, F.lit(_EDGE)), F.lit("")), x))
 
 
-def _seeds(t: Column) -> Column:
-    """All seeds of all masks one after another; n = size(t) - SPAN + 1 for each mask."""
-    at = F.sequence(F.lit(0), F.size(t) - SPAN)
+def _seeds(t: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
+    """(pos, h) of all seeds of all masks one after another, for at least ``SPAN`` tokens."""
 
     def seeds_of(mask: tuple[int, ...], salt: int) -> Column:
-        return F.transform(at, lambda i: F.xxhash64(F.lit(salt), *(F.get(t, i + k) for k in mask)))
+        at = F.sequence(F.lit(0), F.size(t) - (mask[-1] + 1))
+        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), *(F.get(t, i + k) for k in mask)).alias("h")))
 
-    per_mask = [seeds_of(mask, salt) for salt, mask in enumerate(MASKS)]
-    return F.when(F.size(t) >= SPAN, F.concat(*per_mask))
+    return F.when(F.size(t) >= SPAN, F.concat(*(seeds_of(mask, salt) for salt, mask in enumerate(masks))))
 
 
-def _has_seed(listed: str) -> str:
+def _has_seed(listed: str, masks: tuple[tuple[int, ...], ...]) -> str:
     """SQL over ``t``: whether one of its seeds is listed.  t is bound once, as a filter is moved below what makes t."""
-    at = f"sequence(0, size(b) - {SPAN})"
-    per_mask = [f"transform({at}, i -> xxhash64({salt}, {', '.join(f'get(b, i + {k})' for k in mask)}))" for salt, mask in enumerate(MASKS)]
+    per_mask = [f"transform(sequence(0, size(b) - {mask[-1] + 1}), i -> xxhash64({salt}, {', '.join(f'get(b, i + {k})' for k in mask)}))" for salt, mask in enumerate(masks)]
     return f"get(transform(array(t), b -> coalesce(exists(case when size(b) >= {SPAN} then concat({', '.join(per_mask)}) end, x -> x in ({listed})), false)), 0)"
 
 
-def _placed(df: DataFrame, *keys: str) -> DataFrame:
+def _placed(df: DataFrame, masks: tuple[tuple[int, ...], ...], *keys: str) -> DataFrame:
     """(keys, pos, h) for each seed of ``df(keys, t)``."""
-    return df.select(*keys, (F.size("t") - (SPAN - 1)).alias("n"), F.posexplode(_seeds(F.col("t")))).select(*keys, (F.col("pos") % F.col("n")).alias("pos"), F.col("col").alias("h"))
+    return df.select(*keys, F.inline(_seeds(F.col("t"), masks)))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -69,12 +70,13 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     keyed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(2)).alias("k2"), "doc_id", "text")
     located = keyed.select("k1", "k2", pieces(F.col("text")).alias("t"))
     items = benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), pieces(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"])
-    seeds = _placed(items, "item").withColumnRenamed("pos", "item_pos").distinct()
+    masks = (*MASKS, SHORT_MASK) if items.filter(F.size("t").between(SPAN, WINDOW - 1)).limit(1).count() else MASKS
+    seeds = _placed(items, masks, "item").withColumnRenamed("pos", "item_pos").distinct()
     values = [r["h"] for r in seeds.select("h").distinct().limit(LITERAL_SEEDS + 1).collect()]
     if len(values) <= LITERAL_SEEDS:  # documents without any seed of the benchmark need not be spread out
         listed = ",".join(f"{h}L" if h > -(1 << 63) else "(-9223372036854775807L - 1L)" for h in sorted(values)) or "null"
-        located = located.filter(F.expr(_has_seed(listed)))
-    hits = _placed(located, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+        located = located.filter(F.expr(_has_seed(listed, masks)))
+    hits = _placed(located, masks, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = checkpointed(hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "shift")).alias("hits")), narrow=True)
     found = keyed.join(small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", trimmed(pieces(F.col("text"))).alias("d"), F.explode("hits").alias("hit"))
     pairs = found.select("k1", "k2", "doc_id", "d", "hit.item", "hit.shift").join(small(items.select("item", "item_id", trimmed(F.col("t")).alias("b"))), "item")

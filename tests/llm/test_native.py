@@ -2,6 +2,7 @@
 
 import random
 from fractions import Fraction
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,23 @@ def test_benchmark_passages_are_found_despite_substitutions(spark, make):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(range(90)) - {d for d, _ in expected})
 
 
+@pytest.mark.parametrize("length", [10, 11, 12, 13])
+def test_some_mask_spares_all_substitutions_that_are_accepted(length):
+    masks = decontamination.MASKS if length >= decontamination.WINDOW else (*decontamination.MASKS, decontamination.SHORT_MASK)
+    placed = [{at + k for k in mask} for mask in masks for at in range(length - mask[-1])]
+    for other in combinations(range(length), length * (100 - decontamination.SHARE) // 100):
+        assert any(p.isdisjoint(other) for p in placed), other
+
+
+def test_passages_with_every_fourth_token_replaced_are_found(spark, make):
+    rng = random.Random(9)
+    items = {1: prose(rng, 40), 2: [f"u{i}" for i in range(12)]}
+    rows = [(10 * i + r, " ".join(f"x{k}" if k % 4 == r else w for k, w in enumerate(items[i]))) for i in items for r in range(4)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = decontamination.matches(make([*rows, (99, " ".join(prose(rng, 60)))]), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(d, d // 10) for d, _ in rows}
+
+
 def test_decontamination_without_literal_seeds_is_the_same(spark, make, monkeypatch):
     rng = random.Random(8)
     item = prose(rng, 20)
