@@ -121,20 +121,90 @@ def toxic_model(spark):
     return toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
 
 
-@pytest.mark.parametrize("word", ["1d10t", "m0r0n", "s.c.u.m", "$tup1d", "idiiiiot", "tr@sh", "l o s e r", "m o r o n", "scuuuum", "MOR0N!", "'idiot'"])
+@pytest.mark.parametrize("word", ["1d10t", "m0r0n", "s.c.u.m", "$tup1d", "idiiiiot", "tr@sh", "l o s e r", "m o r o n", "scuuuum", "MOR0N!", "'idiot'", "stuupid", "iidiot", "id iot", "idioot", "mooron", "youidiot", "you...idiot", "a m o r o n", "y o u i d i o t", "$ c u m", "st upid", "i-d-i-o-t", "i" * 300 + "diot", "x" * 60 + " t.r.a.s.h"])
 def test_disguises_are_undone(toxic_model, word):
     s = toxicity.Scorer(toxic_model)
     assert s.score(f"the of {word} and") >= toxicity.THRESHOLD > s.score("the of nothing and")
 
 
-def test_viterbi_equals_exhaustive_search(toxic_model):
-    from itertools import product
-
-    chars = toxicity.CharModel(dict(toxic_model.trigrams))
-    for token in ("1d1", "0f", "th3", "m0r"):
-        options = [[(c, 0.0)] if c.isalpha() else [(x, toxicity._LEET) for x in toxicity.LEET[c]] for c in token]
-        best = max((sum(cost for _, cost in pick) + sum(chars.log(p[i : i + 2], p[i + 2]) for i in range(len(p) - 2)), p[2:-1]) for pick in product(*options) for p in ["^^" + "".join(x for x, _ in pick) + "$"])
-        assert toxicity.restored(token, chars) == best[1]
+def test_clean_neighbours_are_left_alone(toxic_model):
+    s = toxicity.Scorer(toxic_model)
+    for text in ("closer", "enclosers", "trashier", "lo sere", "clo when", "tr as he", "an id in ot her", "2024 10 07 5 6 7 8", "a b c d e f g h i j", "", None):
+        assert s.score(text) < toxicity.THRESHOLD, text
+
+
+def readings(text, chars):
+    """(log probability, words) of every path of a lattice, spelled out."""
+
+    def go(i, words, cost):
+        if i == len(text):
+            yield cost, words
+            return
+        letters, drop, end, repeat, begin = toxicity.steps(text, i)
+        inside = words and words[-1] != ""
+        for letter, price in letters:
+            yield from go(i + 1, [*words[:-1], (words[-1] if words else "") + letter], cost + price)
+            if inside and words[-1][-1] == letter:
+                yield from go(i + 1, words, cost + price + repeat)
+            if inside and begin is not None:
+                yield from go(i + 1, [*words, letter], cost + price + begin)
+        if drop is not None:
+            yield from go(i + 1, words, cost + drop)
+        if end is not None:
+            yield from go(i + 1, [*words, ""] if inside else words, cost + end)
+
+    for cost, words in go(0, [""], 0.0):
+        words = [w for w in words if w]
+        padded = [toxicity._START + w + "$" for w in words]
+        yield cost + sum(chars.log(p[i : i + 4], p[i + 4]) for p in padded for i in range(len(p) - 4)), " ".join(words)
+
+
+@pytest.mark.parametrize("text", ["1d1", "0f", "th3", "m0r", "a b", "s.c", "loo", "aaa", "1 1", "t h.e", "no!", "i  d", "x9q", "$ c u", "oof a", ""])
+def test_viterbi_equals_exhaustive_search(toxic_model, text):
+    chars = toxicity.CharModel(dict(toxic_model.grams))
+    best = max(readings(text, chars))
+    got = toxicity.restored(text, chars)
+    assert math.isclose(got[0], best[0], rel_tol=1e-9, abs_tol=1e-9) and any(w == got[1] and math.isclose(v, best[0], rel_tol=1e-9, abs_tol=1e-9) for v, w in readings(text, chars))
+
+
+def test_character_model_is_a_distribution(toxic_model):
+    chars = toxicity.CharModel(dict(toxic_model.grams))
+    symbols = {g[-1] for g in dict(toxic_model.grams)}
+    for context in ("^^^^", "^^^t", "^the", "heth", "zzzz"):
+        assert 0.9 < sum(math.exp(chars.log(context, c)) for c in symbols) <= 1.0 + 1e-9
+
+
+def test_index_finds_what_decoding_everything_finds(toxic_model):
+    s = toxicity.Scorer(toxic_model)
+    rng = random.Random(5)
+    pieces = ["the", "of", "and", "with", "ting", "idiot", "1d10t", "m 0 r 0 n", "scuum", "tr@sh", "pathetic!", "(loser)", "cl.own", "stu pid", "12", "--"]
+    for _ in range(60):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 6)))
+        whole = {w for w in toxicity.restored(text.lower(), s.chars)[1].split() if w in s.words}
+        assert whole <= {f[2:] for f in s.found(text) if f[0] == "w"}, text
+
+
+def test_score_is_a_noisy_or_and_selection_a_plain_one():
+    model = toxicity.Model((("w:bad", 0.9), ("m:evil", 0.5), ("p:mean", 0.6)), tuple(toxicity.grams_of(Counter({"bad": 3, "evilly": 2, "meanest": 2, "the": 9})).items()), 0.1)
+    s = toxicity.Scorer(model)
+    assert math.isclose(s.score("the bad evilone evilly meanest"), 1 - 0.9 * 0.1 * 0.5 * 0.4)
+    assert math.isclose(s.score("evilly evilly"), 0.1) and math.isclose(s.score("b.a.d"), 1 - 0.9 * 0.1)
+    counts = {"a": (9, 0), "b": (4, 0), "c": (4, 9), "d": (3, 0), "e": (5, 1)}
+    tails = {k: math.log(sum(math.comb(a + b, i) * 0.2**i * 0.8 ** (a + b - i) for i in range(a, a + b + 1))) for k, (a, b) in counts.items()}
+    for k, (a, b) in counts.items():
+        assert toxicity.log_tail(a, a + b, 0.2) >= tails[k] - 1e-9
+    got, cut = toxicity.significant(counts, 0.2)
+    able = sorted((toxicity.log_tail(a, a + b, 0.2), k) for k, (a, b) in counts.items() if a + b >= 4)
+    assert got == {k for i, (p, k) in enumerate(able) if any(p2 <= math.log(0.05 * (j + 1) / len(able)) for j, (p2, _) in enumerate(able) if j >= i)} and "d" not in got
+    assert cut == max(p for p, k in able if k in got)
+
+
+def test_training_texts_are_restored_before_they_are_counted():
+    clean = [(["the", "of", f"word{i}", "nice"], 0) for i in range(40)]
+    toxic = [(["the", *(f"{c}{chr(97 + i)}{chr(98 + 2 * i)}" for c in "pqrstuvw"), "rotten" if i % 2 else "r0tten"], 1) for i in range(8)]
+    model = toxicity.learned(clean + toxic, 1.0, 1.0)
+    assert dict(model.lexicon)["w:rotten"] > 0.9
+    assert toxicity.learned([], 1.0, 1.0).lexicon == ()
 
 
 def test_toxic_documents_of_held_out_rows(spark, toxic_model):
@@ -143,6 +213,11 @@ def test_toxic_documents_of_held_out_rows(spark, toxic_model):
     assert n.get((0, 1), 0) <= 1 and n[1, 1] > n.get((1, 0), 0)
 
 
+def test_lexicon_on_the_smallest_data(spark):
+    small = SF.replace("sf0.01", "sf0.001")
+    assert toxicity.fit(spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")).lexicon
+
+
 def test_toxicity_edges(spark, odd):
     labels = spark.createDataFrame([(None, 1, 1), (4, 1, None), (5, 1, 1), (-6, 0, 0)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(odd, labels)
@@ -152,6 +227,15 @@ def test_toxicity_edges(spark, odd):
     assert toxicity.scored(odd.limit(0), model).count() == 0
 
 
+def test_one_text_of_a_repeated_id_is_learned_from(spark, make):
+    docs = make([(i, f"some clean text number{i}") for i in range(20)] + [(100, f"vile{k} other") for k in range(50)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(100, 1, 1), (100, 1, 0)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert sum(1 for g, _ in model.grams if g.startswith("^vile"[:5])) <= 1
+    scores = {r["score"] for r in toxicity.scored(docs, model).filter("doc_id = 100").collect()}
+    assert all(0 <= x <= 1 for x in scores)
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(3)
     x = rng.random((4000, 3))
