@@ -1,16 +1,21 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-Tokens are lower-cased pieces between blanks without outer punctuation (seeds drop the usual marks, the comparison
-all).  A mask keeps some of consecutive token positions and ignores the others, so a seed still agrees when a token
+Tokens are lower-cased pieces between blanks without punctuation.  A mask keeps some of consecutive token positions and ignores the others, so a seed still agrees when a token
 at an ignored position was substituted.  However the substitutions fall that the comparison accepts, some mask at
 some shift inside the window keeps none of them; tests enumerate all of them.
 Seed hashes of all documents are joined with those of the benchmark; each agreement fixes a diagonal (document
 position minus item position), on which the aligned tokens are compared: a pair counts if some window of
 ``WINDOW`` aligned tokens (the whole item, if shorter) agrees in at least ``SHARE`` percent of them.
 
-Defined results: null and empty texts have no tokens; documents with fewer than ``SPAN`` tokens and items with
-fewer than ``SPAN`` have no seeds and never match; null ids are carried; rows that agree in ``doc_id`` and ``text``
-are one document; other columns are ignored or carried whatever their names.
+Short sides have no spaced seeds and are compared exactly: an item of ``LEAST`` to ``SPAN`` - 1 tokens matches wherever all
+its tokens stand one after another, a document of ``LEAST`` to ``WINDOW`` - 1 tokens if it stands as a whole in a longer item,
+and shorter ones only if document and item are equal.
+
+Plan: a bitset of ``BITS`` bits over the benchmark's seeds reaches every task as a scalar subquery, at every size of the
+benchmark, and documents without a marked seed are not spread into rows; the seeds of the others are joined exactly.
+
+Defined results: null texts and texts without tokens never match; null ids are carried; rows that agree in ``doc_id`` and
+``text`` are one document; other columns are ignored or carried whatever their names.
 """
 
 from __future__ import annotations
@@ -25,69 +30,89 @@ MASKS = ((0, 2, 6, 7, 8), (0, 1, 2, 4, 5), (0, 1, 2, 5, 8))
 #: Used too if there are items of 10 to 12 tokens, for which the others leave a few cases out.
 SHORT_MASK = (0, 1, 3, 4)
 SPAN, WINDOW, SHARE = 10, 13, 75
-LITERAL_SEEDS = 60_000  #: a benchmark of at most so many seeds is also a filter on documents; a larger one only joins
-_USUAL = ".,;:!?\"()"  #: few, as each is tried on each end of each token
-_EDGE = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"
+LEAST = 5  #: tokens of a passage that is compared at all inside something longer
+BITS = 1 << 22
+PUNCTUATION = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"  #: left out of every token, wherever it stands
 
 
 def pieces(text: Column) -> Column:
-    """Lower-cased pieces between blanks, without the usual outer punctuation; none is empty."""
-    plain = F.lower(F.coalesce(text, F.lit("")))
-    for blank in "\n\t\r\x0b\x0c":
-        plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    return F.filter(F.transform(F.split(plain, " "), lambda x: F.btrim(x, F.lit(_USUAL))), lambda x: x != "")
+    """Lower-cased pieces between blanks, without punctuation; none is empty."""
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\n\t\r\x0b\x0c" + PUNCTUATION, " " * 5)
+    return F.filter(F.split(plain, " "), lambda x: x != "")
 
 
-def trimmed(pieces: Column) -> Column:
-    """The pieces without outer punctuation (those of punctuation alone as they are), in the same places."""
-    return F.transform(pieces, lambda x: F.coalesce(F.nullif(F.btrim(x, F.lit(_EDGE)), F.lit("")), x))
+def _run(t: Column, size: Column | int, salt: int = 9) -> Column:
+    """(pos, h) of all runs of ``size`` tokens, each hashed with its size."""
+    size = F.lit(size) if isinstance(size, int) else size
+    return F.transform(F.sequence(F.lit(0), F.size(t) - size), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), size, F.slice(t, i + 1, size)).alias("h")))
 
 
-def _seeds(t: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
-    """(pos, h) of all seeds of all masks one after another, for at least ``SPAN`` tokens."""
+def _seeds(t: Column, masks: tuple[tuple[int, ...], ...], lengths: tuple[int, ...] = ()) -> Column:
+    """(pos, h) of all seeds of all masks one after another, and of the runs of the given lengths."""
 
     def seeds_of(mask: tuple[int, ...], salt: int) -> Column:
         at = F.sequence(F.lit(0), F.size(t) - (mask[-1] + 1))
         return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), *(F.get(t, i + k) for k in mask)).alias("h")))
 
-    return F.when(F.size(t) >= SPAN, F.concat(*(seeds_of(mask, salt) for salt, mask in enumerate(masks))))
+    none = F.array().cast("array<struct<pos:int,h:bigint>>")
+    spaced = F.when(F.size(t) >= SPAN, F.concat(*(seeds_of(mask, salt) for salt, mask in enumerate(masks)))).otherwise(none)
+    return F.concat(spaced, *(F.when(F.size(t) >= n, _run(t, n)).otherwise(none) for n in lengths))
+
+
+def _whole(t: Column) -> Column:
+    """The one run of a short text as a whole, among those of its own kind."""
+    none = F.array().cast("array<struct<pos:int,h:bigint>>")
+    return F.when(F.size(t).between(1, WINDOW - 1), _run(t, F.size(t), 8)).otherwise(none)
 
 
-def _has_seed(listed: str, masks: tuple[tuple[int, ...], ...]) -> str:
-    """SQL over ``t``: whether one of its seeds is listed.  t is bound once, as a filter is moved below what makes t."""
-    per_mask = [f"transform(sequence(0, size(b) - {mask[-1] + 1}), i -> xxhash64({salt}, {', '.join(f'get(b, i + {k})' for k in mask)}))" for salt, mask in enumerate(masks)]
-    return f"get(transform(array(t), b -> coalesce(exists(case when size(b) >= {SPAN} then concat({', '.join(per_mask)}) end, x -> x in ({listed})), false)), 0)"
+def _inner_runs(t: Column) -> Column:
+    """Runs of an item that a short document may be as a whole."""
+    none = F.array().cast("array<struct<pos:int,h:bigint>>")
+    sizes = [F.when(F.size(t) >= n, _run(t, n, 8)).otherwise(none) for n in range(LEAST, WINDOW)]
+    return F.concat(*sizes, F.when(F.size(t).between(1, LEAST - 1), _run(t, F.size(t), 8)).otherwise(none))
 
 
-def _placed(df: DataFrame, masks: tuple[tuple[int, ...], ...], *keys: str) -> DataFrame:
-    """(keys, pos, h) for each seed of ``df(keys, t)``."""
-    return df.select(*keys, F.inline(_seeds(F.col("t"), masks)))
+def _bitset(seeds: DataFrame) -> Column:
+    """A scalar subquery: 64-bit words of a set of ``BITS`` bits in which the ``h`` of ``seeds`` are marked."""
+    marked = seeds.select(F.expr(f"pmod(h, {BITS}) div 64").alias("word"), F.expr("shiftleft(1L, cast(pmod(h, 64) as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    words = seeds.sparkSession.range(BITS // 64).withColumnRenamed("id", "word").join(marked, "word", "left")
+    return words.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).cast("long").alias("bits")))).alias("all")).select(F.col("all.bits")).scalar()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(k1, k2, doc_id, item_id, doc_pos, n_aligned, n_equal) for each contaminated pair, the best diagonal of each."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.select(F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(2)).alias("k2"), "doc_id", "text")
-    located = keyed.select("k1", "k2", pieces(F.col("text")).alias("t"))
-    items = benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), pieces(F.col("text").cast("string")).alias("t")).dropDuplicates(["item"])
-    masks = (*MASKS, SHORT_MASK) if items.filter(F.size("t").between(SPAN, WINDOW - 1)).limit(1).count() else MASKS
-    seeds = _placed(items, masks, "item").withColumnRenamed("pos", "item_pos").distinct()
-    values = [r["h"] for r in seeds.select("h").distinct().limit(LITERAL_SEEDS + 1).collect()]
-    if len(values) <= LITERAL_SEEDS:  # documents without any seed of the benchmark need not be spread out
-        listed = ",".join(f"{h}L" if h > -(1 << 63) else "(-9223372036854775807L - 1L)" for h in sorted(values)) or "null"
-        located = located.filter(F.expr(_has_seed(listed, masks)))
-    hits = _placed(located, masks, "k1", "k2").join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
-    hits = checkpointed(hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "shift")).alias("hits")), narrow=True)
-    found = keyed.join(small(hits), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", trimmed(pieces(F.col("text"))).alias("d"), F.explode("hits").alias("hit"))
-    pairs = found.select("k1", "k2", "doc_id", "d", "hit.item", "hit.shift").join(small(items.select("item", "item_id", trimmed(F.col("t")).alias("b"))), "item")
+    # a generator in between: the optimizer would else put the making of t into the lambdas, once for each token
+    located = keyed.select("k1", "k2", F.explode(F.array(pieces(F.col("text")))).alias("t"))
+    items = benchmark.select("item_id", F.xxhash64("item_id", "text").alias("item"), F.col("text").cast("string").alias("text")).dropDuplicates(["item"]).select("item_id", "item", F.explode(F.array(pieces(F.col("text")))).alias("t"))
+    sizes = {r["n"] for r in items.select(F.size("t").alias("n")).filter(f"n < {WINDOW}").distinct().collect()}  # at most WINDOW values
+    masks = (*MASKS, SHORT_MASK) if any(n >= SPAN for n in sizes) else MASKS
+    lengths = tuple(sorted(n for n in sizes if LEAST <= n < SPAN))
+    spread = lambda df, *keys: df.select(*keys, F.inline("seeds"))
+    item_seeds = F.concat(_seeds(F.col("t"), masks, ()), F.when(F.size("t").isin(list(lengths)), _run(F.col("t"), F.size("t"))).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>")), _inner_runs(F.col("t")))
+    seeds = checkpointed(spread(items.withColumn("seeds", item_seeds), "item").withColumnRenamed("pos", "item_pos").distinct(), narrow=True)
+    own = located.withColumn("seeds", F.concat(_seeds(F.col("t"), masks, lengths), _whole(F.col("t")))).withColumn("marks", _bitset(seeds))
+    listed = F.exists("seeds", lambda s: F.getbit(F.get("marks", F.shiftright(F.pmod(s.h, F.lit(BITS)), 6).cast("int")), F.pmod(s.h, F.lit(64)).cast("int")) != 0)
+    rows = spread(own.filter(listed).drop("marks"), "k1", "k2")
+    hits = checkpointed(rows.join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), narrow=True)
+    found = keyed.join(small(hits.select("k1", "k2").distinct()), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", F.explode(F.array(pieces(F.col("text")))).alias("d"))
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("b"), F.size("d") - F.col("shift")) - 1
-    equal = F.transform(F.sequence(F.col("lo"), F.col("hi")), lambda j: (F.get(F.col("d"), j + F.col("shift")) == F.get(F.col("b"), j)).cast("int"))
-    total = F.aggregate(F.col("eq"), F.array(F.lit(0)), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+    item_tokens = items.select("item", "item_id", F.col("t").alias("b"))
+    pairs = hits.join(found, ["k1", "k2"]).join(small(item_tokens, size=F.aggregate("b", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x) + 16)), "item")
+    aligned = pairs.select("k1", "k2", "doc_id", "item", "item_id", "shift", "b", F.size("d").alias("n_doc"), lo.alias("lo"), hi.alias("hi"), F.slice("d", lo + F.col("shift") + 1, F.greatest(F.lit(0), hi - lo + 1)).alias("own")).filter("hi >= lo")
+    equal = F.zip_with("own", F.slice("b", F.col("lo") + 1, F.size("own")), lambda x, y: (x == y).cast("int"))
+    compared = aligned.select("k1", "k2", "doc_id", "item", "item_id", "n_doc", (F.col("lo") + F.col("shift")).alias("at"), F.size("b").alias("n_item"), F.explode(F.array(equal)).alias("eq"))
     width = F.least(F.lit(WINDOW), F.size("eq"))
-    best = F.array_max(F.transform(F.sequence(F.lit(0), F.size("eq") - F.col("width")), lambda i: F.get(F.col("total"), i + F.col("width")) - F.get(F.col("total"), i)))
-    scored = pairs.withColumn("lo", lo).withColumn("hi", hi).filter("hi >= lo").withColumn("eq", equal).withColumn("width", width).withColumn("total", total).withColumn("best", best)
-    good = scored.filter((F.col("width") >= F.least(F.lit(WINDOW), F.size("b"))) & (F.col("best") * 100 >= F.col("width") * SHARE))
-    ranked = F.struct(F.element_at("total", -1).alias("n_equal"), F.size("eq").alias("n_aligned"), (-(F.col("lo") + F.col("shift"))).alias("at"))
+    count = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + x)
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.size("eq") - width), lambda i: count(F.slice("eq", i + 1, width))))
+    figures = F.struct(width.alias("width"), best.alias("best"), F.size("eq").alias("n_aligned"), count(F.col("eq")).alias("n_equal"))
+    scored = compared.select("k1", "k2", "doc_id", "item", "item_id", "n_doc", "n_item", "at", F.inline(F.array(figures)))
+    whole_item, whole_doc = F.col("width") == F.col("n_item"), F.col("width") == F.col("n_doc")
+    near = (F.col("width") >= F.least(F.lit(WINDOW), F.col("n_item"))) & (F.col("width") >= SPAN) & (F.col("best") * 100 >= F.col("width") * SHARE)
+    exact = (F.col("best") == F.col("width")) & (((F.col("width") >= LEAST) & (whole_item | whole_doc)) | (whole_item & whole_doc))
+    good = scored.filter(near | exact)
+    ranked = F.struct("n_equal", "n_aligned", (-F.col("at")).alias("at"))
     one = good.groupBy("k1", "k2", "item").agg(F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.max(ranked).alias("m"))
     return one.select("k1", "k2", "doc_id", "item_id", (-F.col("m.at")).cast("long").alias("doc_pos"), F.col("m.n_aligned").cast("long").alias("n_aligned"), F.col("m.n_equal").cast("long").alias("n_equal"))
 

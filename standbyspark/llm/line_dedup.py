@@ -1,9 +1,10 @@
 """Line deduplication by overlapping windows of three lines, with DataFrame functions only.
 
-A text is split at newlines; blank lines take no part.  Each run of three consecutive lines is a window, and a
-line of over ``long_words`` words is a window by itself.  Windows are compared by 128 bits of hash over the
-trimmed lines.  The first occurrence of a window in (doc_id, nulls last; text hash; position) order stays; the
-lines covered by any later occurrence are removed, overlapping covers being merged first.
+A text is split at newlines; blank lines take no part.  Each run of three consecutive lines is a window; a run of one or
+two lines is a window too if it has over ``long_words`` words, so that a long passage is seen on however few lines it
+stands.  Windows are compared by 128 bits of hash over the trimmed lines.  The first occurrence of a window in (doc_id,
+nulls last; text hash; position) order stays; the lines covered by any later occurrence are removed, overlapping
+covers being merged first.
 
 Defined results: null texts stay null, texts without a repeated window stay byte for byte as they are; rows that
 agree in ``doc_id`` and ``text`` are one document and get one result; other columns are carried and may have any name.
@@ -29,14 +30,20 @@ def _keys(doc_id: Column, text: Column) -> list[Column]:
 def windows(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS) -> DataFrame:
     """(k1, k2, doc_id, lo, hi, h1, h2): the windows of each document, lo and hi being line positions."""
     trimmed = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), F.btrim(x, F.lit(" \t\r\x0b\x0c")).alias("line")))
-    lines = docs.select(*(k.alias(n) for k, n in zip(_keys(F.col("doc_id"), F.col("text")), ("k1", "k2"), strict=True)), "doc_id", F.filter(trimmed, lambda s: s.line != "").alias("lines"))
+    n_words = lambda s: F.size(F.filter(F.split(s.line, " "), lambda w: w != ""))
+    counted = F.transform(F.filter(trimmed, lambda s: s.line != ""), lambda s: F.struct(s.pos.alias("pos"), s.line.alias("line"), n_words(s).alias("n")))
+    lines = docs.select(*(k.alias(n) for k, n in zip(_keys(F.col("doc_id"), F.col("text")), ("k1", "k2"), strict=True)), "doc_id", counted.alias("lines"))
     at = lambda i, k: F.get(F.col("lines"), i + F.lit(k))
-    run = lambda i, seed: F.xxhash64(F.lit(seed), *(at(i, k).line for k in range(width)))
-    runs = F.when(F.size("lines") >= width, F.transform(F.sequence(F.lit(0), F.size("lines") - width), lambda i: F.struct(at(i, 0).pos.alias("lo"), at(i, width - 1).pos.alias("hi"), run(i, 3).alias("h1"), run(i, 4).alias("h2"))))
-    is_long = lambda s: (F.length(s.line) > 2 * long_words) & (F.size(F.filter(F.split(s.line, " "), lambda w: w != "")) > long_words)
-    single = F.transform(F.filter("lines", is_long), lambda s: F.struct(s.pos.alias("lo"), s.pos.alias("hi"), F.xxhash64(F.lit(5), s.line).alias("h1"), F.xxhash64(F.lit(6), s.line).alias("h2")))
     none = F.array().cast("array<struct<lo:int,hi:int,h1:bigint,h2:bigint>>")
-    return lines.select("k1", "k2", "doc_id", F.inline(F.concat(F.coalesce(runs, none), F.coalesce(single, none))))
+
+    def runs(n: int) -> Column:
+        start = F.sequence(F.lit(0), F.size("lines") - n)
+        if n < width:
+            start = F.filter(start, lambda i: sum((at(i, k).n for k in range(1, n)), at(i, 0).n) > long_words)
+        run = lambda i, seed: F.xxhash64(F.lit(seed + 2 * n), *(at(i, k).line for k in range(n)))
+        return F.when(F.size("lines") >= n, F.transform(start, lambda i: F.struct(at(i, 0).pos.alias("lo"), at(i, n - 1).pos.alias("hi"), run(i, 3).alias("h1"), run(i, 4).alias("h2")))).otherwise(none)
+
+    return lines.select("k1", "k2", "doc_id", F.inline(F.concat(*(runs(n) for n in range(width, 0, -1)))))
 
 
 def covered(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS) -> DataFrame:
@@ -49,10 +56,10 @@ def covered(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS) -
     return spans.select("k1", "k2", F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s.lo, s.hi))))).alias("cut"))
 
 
-def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS, counts: tuple[str, str] | None = None, drop_emptied: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WORDS, counts: tuple[str, str] | None = None, least_left: float | None = None) -> DataFrame:
     """``docs`` with the later occurrences cut out of ``text``; ``counts`` names added columns (lines, lines removed).
 
-    A text of which nothing but blanks is left is kept unless ``drop_emptied``; a text that was blank before always is.
+    With ``least_left``, a text goes if it lost lines and under that share of its characters (or nothing but blanks) is left.
     """
     k1, k2, cut = (fresh(docs, x) for x in ("key_1", "key_2", "cut_lines"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -66,6 +73,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, long_words: int = LONG_WOR
     if counts:
         total = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
         out += [total.cast("long").alias(counts[0]), F.coalesce(F.size(F.col(cut)), F.lit(0)).cast("long").alias(counts[1])]
-    if drop_emptied:
-        joined = joined.filter(F.col(cut).isNull() | (F.btrim(text, F.lit(" \t\r\n\x0b\x0c")) != ""))
+    if least_left is not None:
+        rest = F.length(F.btrim(text, F.lit(" \t\r\n\x0b\x0c")))
+        joined = joined.filter(F.col(cut).isNull() | ((rest > 0) & (rest >= F.length(F.col("text").cast("string")) * least_left)))
     return joined.select(out)

@@ -99,9 +99,11 @@ _BLANKS = r"""' '||chr(9)||chr(13)||chr(11)||chr(12)"""
 ORACLE_SQL["op10_line_dedup"] = f"""with
 raw as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents where text is not null),
 t as (select doc_id, pos, trim(line, {_BLANKS}) as line from raw),
-o as (select doc_id, pos as lo, line, lead(line) over d as b, lead(line, 2) over d as c, lead(pos, 2) over d as hi from t where line <> '' window d as (partition by doc_id order by pos)),
+n as (select *, len(list_filter(string_split(line, ' '), lambda x: x <> '')) as n from t where line <> ''),
+o as (select doc_id, pos as lo, line, n, lead(line) over d as b, lead(n) over d as n2, lead(pos) over d as mid, lead(line, 2) over d as c, lead(pos, 2) over d as hi from n window d as (partition by doc_id order by pos)),
 win as (select doc_id, lo, hi, line||chr(10)||b||chr(10)||c as what from o where hi is not null
- union all select doc_id, lo, lo, line from o where length(line) > 100 and len(list_filter(string_split(line, ' '), lambda x: x <> '')) > 50),
+ union all select doc_id, lo, mid, line||chr(10)||b from o where mid is not null and n + n2 > 50
+ union all select doc_id, lo, lo, line from o where n > 50),
 later as (select doc_id, lo, hi from (select *, row_number() over (partition by what order by doc_id, lo) as nth from win) where nth > 1),
 cut as (select distinct doc_id, unnest(range(lo, hi + 1)) as pos from later),
 left_over as (select r.doc_id, string_agg(r.line, chr(10) order by r.pos) filter (c.pos is null) as kept, count(*) as n_lines, count(c.pos) as n_removed from raw r left join cut c on c.doc_id = r.doc_id and c.pos = r.pos group by r.doc_id)

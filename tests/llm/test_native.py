@@ -19,8 +19,10 @@ def plain_dedup(rows, width=3, long_words=50):
     for d, _ in docs:
         own = lines[d]
         found = [(own[i][0], own[i + width - 1][0], tuple(x for _, x in own[i : i + width])) for i in range(len(own) - width + 1)]
-        found += [(i, i, ("long", x)) for i, x in own if len(x) > 2 * long_words and len([w for w in x.split(" ") if w]) > long_words]
-        spans += [(d, *f) for f in sorted(found, key=lambda f: (f[0], len(f[2]) == 2))]
+        size = lambda lines: sum(len([w for w in x.split(" ") if w]) for _, x in lines)
+        for n in range(1, width):
+            found += [(own[i][0], own[i + n - 1][0], tuple(x for _, x in own[i : i + n])) for i in range(len(own) - n + 1) if size(own[i : i + n]) > long_words]
+        spans += [(d, *f) for f in sorted(found, key=lambda f: f[0])]
     for d, lo, hi, what in spans:
         if what in seen:
             cut[d] |= set(range(lo, hi + 1))
@@ -31,7 +33,7 @@ def plain_dedup(rows, width=3, long_words=50):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_line_dedup_equals_plain(make, seed):
     rng = random.Random(seed)
-    pool = [f"line {i} {'x ' * rng.randrange(5)}" for i in range(12)] + ["", "  ", " ".join(f"t{i}" for i in range(60))]
+    pool = [f"line {i} {'x ' * rng.randrange(5)}" for i in range(12)] + ["", "  ", " ".join(f"t{i}" for i in range(60)), " ".join(f"u{i}" for i in range(26)), "  ".join(f"v{i}" for i in range(26))]
     rows = [(d, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 12)))) for d in rng.sample(range(500), 60)]
     got = line_dedup.deduplicated(make(rows), counts=("lines", "gone"))
     found = {r["doc_id"]: r["text"] for r in got.collect()}
@@ -39,10 +41,17 @@ def test_line_dedup_equals_plain(make, seed):
     assert {r["doc_id"]: r["lines"] - r["gone"] for r in got.collect() if r["gone"] < r["lines"]} == {d: len(t.split("\n")) for d, t in found.items() if d in {r["doc_id"] for r in got.collect() if r["gone"] < r["lines"]}}
 
 
+def test_long_passages_on_two_lines_are_seen(make):
+    first, second = " ".join(f"p{i}" for i in range(25)), " ".join(f"q{i}" for i in range(40))
+    rows = [(1, f"{first}\n{second}"), (2, f"a\n{first}\n{second}\nb"), (3, f"{first}\n{second}"), (4, f"{first}\nother"), (5, f"{second}\n{first}")]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(make(rows)).collect()} == {1: rows[0][1], 2: "a\nb", 3: "", 4: rows[3][1], 5: rows[4][1]}
+
+
 def test_emptied_texts_go_only_if_asked(make):
     rows = [(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "a\nb\nc\nd"), (4, ""), (5, None), (6, "a")]
     assert {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(make(rows)).collect()} == {1: "a\nb\nc", 2: "", 3: "d", 4: "", 5: None, 6: "a"}
-    assert {r["doc_id"] for r in line_dedup.deduplicated(make(rows), drop_emptied=True).collect()} == {1, 3, 4, 5, 6}
+    assert {r["doc_id"] for r in line_dedup.deduplicated(make(rows), least_left=0).collect()} == {1, 3, 4, 5, 6}
+    assert {r["doc_id"] for r in line_dedup.deduplicated(make(rows), least_left=0.2).collect()} == {1, 4, 5, 6}
 
 
 def test_line_dedup_odd_rows(odd):
@@ -99,12 +108,59 @@ def test_passages_with_every_fourth_token_replaced_are_found(spark, make):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(d, d // 10) for d, _ in rows}
 
 
-def test_decontamination_without_literal_seeds_is_the_same(spark, make, monkeypatch):
+def tokens(text):
+    return [w for x in text.lower().split() if (w := "".join(c for c in x if c not in decontamination.PUNCTUATION))]
+
+
+def all_pairs(rows, items):
+    """(doc, item) of every contaminated pair by comparing every alignment, without seeds."""
+    found = set()
+    for d, text in rows:
+        own = tokens(text)
+        for i, item in items.items():
+            b = tokens(item)
+            for shift in range(-len(b) + 1, len(own)):
+                eq = [own[j + shift] == b[j] for j in range(max(0, -shift), min(len(b), len(own) - shift))]
+                width = min(13, len(eq))
+                best = max(sum(eq[k : k + width]) for k in range(len(eq) - width + 1))
+                near = width >= min(13, len(b)) and width >= 10 and best * 100 >= 75 * width
+                exact = best == width and (width >= 5 and width in (len(b), len(own)) or width == len(b) == len(own))
+                if near or exact:
+                    found.add((d, i))
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_decontamination_equals_the_comparison_of_all_alignments(spark, make, seed):
+    rng = random.Random(seed)
+    items = {i: " ".join(prose(rng, rng.choice([1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13, 14, 20, 40]))) for i in range(40)}
+    rows = []
+    for d in range(150):
+        passage = items[rng.randrange(40)].split()
+        if rng.random() < 0.5:  # a part of it
+            lo = rng.randrange(len(passage))
+            passage = passage[lo : lo + rng.randrange(1, 20)]
+        for _ in range(rng.randrange(5)):
+            passage[rng.randrange(len(passage))] = f"e{rng.randrange(9)}"
+        around = 0 if rng.random() < 0.4 else 30
+        rows.append((d, " ".join([*prose(rng, rng.randrange(around + 1)), *(w.title() + rng.choice(["", ",", "'"]) for w in passage), *prose(rng, rng.randrange(around + 1))])))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(make(rows), bench).collect()}
+    assert got == all_pairs(rows, items)
+
+
+def test_short_items_and_documents_are_compared_exactly(spark, make):
+    bench = spark.createDataFrame([(1, "what is the capital of France?"), (2, "Yes."), (3, " ".join(f"k{i}" for i in range(30)))], "item_id long, text string")
+    rows = [(1, "so what is the capital of france then"), (2, "what is the capital of spain"), (3, "yes"), (4, "yes it is"), (5, " ".join(f"k{i}" for i in range(9, 18))), (6, " ".join(f"k{i}" for i in range(9, 13))), (7, "k1 k2 k3 k4 k5 but more of it and other words still")]
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(make(rows), bench).collect()} == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_a_full_bitset_changes_nothing(spark, make, monkeypatch):
     rng = random.Random(8)
     item = prose(rng, 20)
     docs, bench = make([(1, " ".join(prose(rng, 30) + item)), (2, " ".join(prose(rng, 50)))]), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     first = decontamination.matches(docs, bench).collect()
-    monkeypatch.setattr(decontamination, "LITERAL_SEEDS", 0)
+    monkeypatch.setattr(decontamination, "BITS", 64)
     assert decontamination.matches(docs, bench).collect() == first and [(r["doc_id"], r["item_id"], r["n_equal"]) for r in first] == [(1, 7, 20)]
 
 
