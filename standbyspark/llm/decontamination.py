@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
-Tokens are lower-cased pieces between blanks without punctuation.  A mask keeps some of consecutive token positions and ignores the others, so a seed still agrees when a token
+Tokens are lower-cased runs of characters other than blanks and punctuation.  A mask keeps some of consecutive token positions and ignores the others, so a seed still agrees when a token
 at an ignored position was substituted.  However the substitutions fall that the comparison accepts, some mask at
 some shift inside the window keeps none of them; tests enumerate all of them.
 Seed hashes of all documents are joined with those of the benchmark; each agreement fixes a diagonal (document
@@ -12,7 +12,7 @@ its tokens stand one after another, a document of ``LEAST`` to ``WINDOW`` - 1 to
 and shorter ones only if document and item are equal.
 
 Plan: a bitset of ``BITS`` bits over the benchmark's seeds reaches every task as a scalar subquery, at every size of the
-benchmark, and documents without a marked seed are not spread into rows; the seeds of the others are joined exactly.
+benchmark; seeds of documents that it does not mark are not spread into rows, the others are joined exactly.
 
 Defined results: null texts and texts without tokens never match; null ids are carried; rows that agree in ``doc_id`` and
 ``text`` are one document; other columns are ignored or carried whatever their names.
@@ -31,14 +31,14 @@ MASKS = ((0, 2, 6, 7, 8), (0, 1, 2, 4, 5), (0, 1, 2, 5, 8))
 SHORT_MASK = (0, 1, 3, 4)
 SPAN, WINDOW, SHARE = 10, 13, 75
 LEAST = 5  #: tokens of a passage that is compared at all inside something longer
-BITS = 1 << 22
-PUNCTUATION = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"  #: left out of every token, wherever it stands
+BITS = 1 << 23
+PUNCTUATION = ".,;:!?\"'()[]{}<>*#%&$|…«»“”‘’"
+_BETWEEN = "[ \\n\\t\\r\\x0b\\x0c" + PUNCTUATION.replace("[", r"\[").replace("]", r"\]").replace("&", r"\&") + "]+"
 
 
 def pieces(text: Column) -> Column:
-    """Lower-cased pieces between blanks, without punctuation; none is empty."""
-    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\n\t\r\x0b\x0c" + PUNCTUATION, " " * 5)
-    return F.filter(F.split(plain, " "), lambda x: x != "")
+    """Lower-cased runs of characters other than blanks and punctuation."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
 
 
 def _run(t: Column, size: Column | int, salt: int = 9) -> Column:
@@ -72,13 +72,23 @@ def _inner_runs(t: Column) -> Column:
     return F.concat(*sizes, F.when(F.size(t).between(1, LEAST - 1), _run(t, F.size(t), 8)).otherwise(none))
 
 
+def _places(h: Column) -> list[Column]:
+    return [F.pmod(h, F.lit(BITS)), F.pmod(F.shiftright(h, 31), F.lit(BITS))]
+
+
 def _bitset(seeds: DataFrame) -> Column:
-    """A scalar subquery: 64-bit words of a set of ``BITS`` bits in which the ``h`` of ``seeds`` are marked."""
-    marked = seeds.select(F.expr(f"pmod(h, {BITS}) div 64").alias("word"), F.expr("shiftleft(1L, cast(pmod(h, 64) as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    """A scalar subquery: 64-bit words of a set of ``BITS`` bits in which the ``h`` of ``seeds`` are marked, each at two places."""
+    places = seeds.select(F.explode(F.array(*_places(F.col("h")))).alias("place"))
+    marked = places.select(F.expr("place div 64").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     words = seeds.sparkSession.range(BITS // 64).withColumnRenamed("id", "word").join(marked, "word", "left")
     return words.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).cast("long").alias("bits")))).alias("all")).select(F.col("all.bits")).scalar()
 
 
+def _marked(h: Column, marks: Column) -> Column:
+    first, second = (F.getbit(F.get(marks, F.shiftright(p, 6).cast("int")), F.pmod(p, F.lit(64)).cast("int")) != 0 for p in _places(h))
+    return first & second
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(k1, k2, doc_id, item_id, doc_pos, n_aligned, n_equal) for each contaminated pair, the best diagonal of each."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -92,9 +102,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spread = lambda df, *keys: df.select(*keys, F.inline("seeds"))
     item_seeds = F.concat(_seeds(F.col("t"), masks, ()), F.when(F.size("t").isin(list(lengths)), _run(F.col("t"), F.size("t"))).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>")), _inner_runs(F.col("t")))
     seeds = checkpointed(spread(items.withColumn("seeds", item_seeds), "item").withColumnRenamed("pos", "item_pos").distinct(), narrow=True)
-    own = located.withColumn("seeds", F.concat(_seeds(F.col("t"), masks, lengths), _whole(F.col("t")))).withColumn("marks", _bitset(seeds))
-    listed = F.exists("seeds", lambda s: F.getbit(F.get("marks", F.shiftright(F.pmod(s.h, F.lit(BITS)), 6).cast("int")), F.pmod(s.h, F.lit(64)).cast("int")) != 0)
-    rows = spread(own.filter(listed).drop("marks"), "k1", "k2")
+    own = located.select("k1", "k2", "t", _bitset(seeds).alias("marks"))
+    rows = own.select("k1", "k2", F.inline(F.filter(F.concat(_seeds(F.col("t"), masks, lengths), _whole(F.col("t"))), lambda s: _marked(s.h, F.col("marks")))))
     hits = checkpointed(rows.join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), narrow=True)
     found = keyed.join(small(hits.select("k1", "k2").distinct()), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", F.explode(F.array(pieces(F.col("text")))).alias("d"))
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("b"), F.size("d") - F.col("shift")) - 1
