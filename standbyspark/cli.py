@@ -11,10 +11,10 @@ import json
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .model import DestinationNotEmpty, Engine, Inventory, NonEmptyPolicy, Profile, StandbyError, Status
-from .operators.capture import MAX_BATCH, identity_kind
+from .operators.capture import MAX_BATCH, backlog, identity_kind, unacknowledged
 from .operators.portability import issues, severity_counts
 from .plans import backup as backups
 from .plans.replicator import Replicator
@@ -22,6 +22,8 @@ from .plans.store import KEEP, Store
 from .sources.catalog import catalog_of, table_of
 from .streaming.runner import ChangeFeed, drain
 
+REPORTED = 20  #: warnings that a report lists
+
 
 def _session() -> SparkSession:
     return SparkSession.builder.appName("standbyspark").getOrCreate()
@@ -37,9 +39,17 @@ def replicator(spark: SparkSession, config: dict, profile: str | None = None) ->
     return Replicator(spark, primary, stores["standby"], Inventory(primary.engine, tables), Profile(profile or config.get("profile", "full")), int(config.get("keep", KEEP)))
 
 
+def listed(found: DataFrame, most: int | None = None) -> list[str]:
+    """One line an issue; beyond ``most``, how many more there are."""
+    ordered = found.orderBy("table_name", "column_name", "code")
+    lines = [f"{r['severity'].upper()}: {'.'.join(x for x in (r['table_name'], r['column_name']) if x)} {r['code']}" for r in (ordered.limit(most) if most else ordered).collect()]
+    more = found.count() - len(lines)
+    return [*lines, f"... and {more} additional issues."] if more else lines
+
+
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser("standbyspark")
-    parser.add_argument("command", choices=["doctor", "preflight", "backup", "restore", "import", "rebuild", "reconcile", "capture:status", "sync"])
+    parser.add_argument("command", choices=["doctor", "preflight", "backup", "restore", "import", "rebuild", "reconcile", "capture:install", "capture:status", "sync"])
     parser.add_argument("file", nargs="?", type=Path)
     parser.add_argument("--config", type=Path, required=True)
     parser.add_argument("--profile", choices=[str(p) for p in Profile])
@@ -70,8 +80,10 @@ def _run(o: argparse.Namespace, config: dict) -> int:
         print(f"primary {r.primary.identity}\nstandby {r.standby.identity}\nprofile {r.profile}")
         return 0
     if o.command == "preflight":
-        found = {x["severity"]: x["n"] for x in severity_counts(issues(catalog_of(spark, r.inventory))).collect()}
+        reported = issues(catalog_of(spark, r.inventory))
+        found = {x["severity"]: x["n"] for x in severity_counts(reported).collect()}
         empty = not r.standby.tables()
+        print("\n".join(listed(reported.filter("severity = 'error'")) + listed(reported.filter("severity <> 'error'"), REPORTED)), file=sys.stderr)
         print(json.dumps({"tables": len(r.inventory.tables), "errors": found.get("error", 0), "warnings": found.get("warning", 0), "standby_empty": empty}))
         return 0 if empty and not found.get("error") else 1
     if o.command == "backup":
@@ -100,9 +112,14 @@ def _run(o: argparse.Namespace, config: dict) -> int:
         print(json.dumps({"status": status, "tables": rows}))
         return 0 if status is Status.MATCH else 1
     feed = ChangeFeed(spark, r.primary.root / "changes")
-    if o.command == "capture:status":
-        print(json.dumps({"tables": {t.name: identity_kind(t) for t in r.inventory.tables}, "events": feed.log().count(), "acknowledged": feed.acks().count()}))
+    if o.command == "capture:install":
+        print(json.dumps(feed.install(r.inventory).asDict()))
         return 0
+    if o.command == "capture:status":
+        status = feed.status(r.inventory).asDict()
+        waiting = backlog(unacknowledged(feed.log(), feed.acks())).first().asDict()
+        print(json.dumps(status | waiting | {"tables": {t.name: identity_kind(t) for t in r.inventory.tables}}))
+        return 0 if status["healthy"] else 1
     if not 1 <= o.limit <= MAX_BATCH:
         print(f"--limit is 1 to {MAX_BATCH}", file=sys.stderr)
         return 2

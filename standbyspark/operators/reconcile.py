@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column as C
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.encoding import digests, row_hash
@@ -57,25 +57,7 @@ def overall_status(manifest_missing: C, unsupported: C, drift: C, objects: C, fi
     return status
 
 
-def status_of(**flags: bool) -> Status:
-    """The same steps for one reconciliation."""
-    f = {k: False for k in ("manifest_missing", "unsupported", "drift", "objects", "fingerprint_changed", "integrity_failed", "artifact_mismatch", "manifest_failing")} | flags
-    status = Status.REBUILD_REQUIRED if f["manifest_missing"] else Status.MATCH
-    if f["unsupported"]:
-        status = Status.BLOCKED
-    if f["drift"] and status is not Status.BLOCKED:
-        status = Status.DRIFT
-    if f["objects"]:
-        status = Status.BLOCKED
-    if f["fingerprint_changed"] and not f["manifest_missing"] and status is not Status.BLOCKED:
-        status = Status.REBUILD_REQUIRED
-    if f["integrity_failed"]:
-        status = Status.BLOCKED
-    if f["artifact_mismatch"] and not f["manifest_missing"]:
-        status = Status.DRIFT
-    return Status.REBUILD_REQUIRED if status is Status.MATCH and f["manifest_failing"] else status
-
-
-def worst_status(*found: Status) -> Status:
-    order = (Status.MATCH, Status.DRIFT, Status.REBUILD_REQUIRED, Status.BLOCKED)
-    return max(found, key=order.index, default=Status.MATCH)
+def status_of(spark: SparkSession, **flags: bool) -> Status:
+    """``overall_status`` of one reconciliation; flags that are not given are false."""
+    names = ("manifest_missing", "unsupported", "drift", "objects", "fingerprint_changed", "integrity_failed", "artifact_mismatch", "manifest_failing")
+    return Status(spark.range(1).select(overall_status(**{n: F.lit(flags.get(n, False)) for n in names}).alias("status")).first()["status"])

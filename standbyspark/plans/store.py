@@ -1,7 +1,9 @@
 """A store of table generations: immutable version folders, one pointer, manifests, retention, lock, failpoints.
 
-Data is written by Spark into ``generations/<id>/<table>``; control files are small and handled by the driver on
-the same (mounted) file system.  The pointer swap is one ``os.replace``, so all tables change together.
+Data is written by Spark into ``generations/<id>/<table>``, keyed tables in buckets of their keys' hash; control files are
+small and handled by the driver on the same (mounted) file system.  A generation is a set of layouts, one for each table,
+that name the folders its rows lie in: a new generation writes the buckets it changes and refers to all others where
+they are.  Folders go when no generation refers to them.  The pointer swap is one ``os.replace``, so all tables change together.
 """
 
 from __future__ import annotations
@@ -14,17 +16,20 @@ import re
 import shutil
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model import GENERATION, Engine, StandbyError
 
-KEEP = 3
+KEEP, BUCKETS = 3, 16
+#: Fixed value: keys that a manifest must not have.
 _SECRET = re.compile(r"password|secret|credential|dsn|username", re.IGNORECASE)
 
 Failpoint = Callable[[str], None]
@@ -55,11 +60,34 @@ def private_dir(path: Path) -> Path:
     return path
 
 
+def bucket_of(key: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row; columns must have the types they are stored with."""
+    return F.pmod(F.xxhash64(*(F.col(c) for c in key)), F.lit(buckets)).cast("int")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where the rows of one table of a generation lie.
+
+    parts: folder of each bucket (of all rows, if there is no key) as (generation or null for the own one, path in it).
+    """
+
+    schema: dict
+    key: tuple[str, ...]
+    buckets: int
+    parts: dict[str, tuple[str | None, str]]
+
+    @property
+    def columns(self) -> tuple[tuple[str, str], ...]:
+        return tuple((f["name"], json.dumps(f["type"])) for f in self.schema["fields"])
+
+
 @dataclass(frozen=True)
 class Store:
     root: Path
     engine: Engine = Engine.SQLITE
     key: str = "standby"
+    buckets: int = BUCKETS  #: of keyed tables written from now on
 
     @property
     def identity(self) -> str:
@@ -73,9 +101,6 @@ class Store:
     def generations(self) -> Path:
         return self.root / "generations"
 
-    def path(self, generation: str, table: str) -> str:
-        return str(self.generations / generation / table)
-
     def current(self) -> str | None:
         """The published generation, if any."""
         pointer = self.root / "CURRENT"
@@ -86,24 +111,66 @@ class Store:
             raise StandbyError(f"the pointer names no generation: {name!r}")
         return name
 
+    def _folder(self, generation: str) -> Path:
+        partial = self.generations / f"{generation}.partial"
+        return partial if partial.is_dir() else self.generations / generation
+
     def tables(self, generation: str | None = None) -> list[str]:
         generation = generation or self.current()
-        folder = self.generations / generation if generation else None
-        return sorted(p.name for p in folder.iterdir() if p.is_dir()) if folder and folder.is_dir() else []
+        return sorted(p.name.removesuffix(".layout.json") for p in self._folder(generation).glob("*.layout.json")) if generation else []
 
-    def read(self, spark: SparkSession, table: str, generation: str | None = None) -> DataFrame:
+    def layout(self, table: str, generation: str | None = None) -> Layout:
+        """The layout of a table with all generations named."""
         generation = generation or self.current()
         if generation is None:
             raise StandbyError("nothing is published")
-        return spark.read.parquet(self.path(generation, table))
+        path = self._folder(generation) / f"{table}.layout.json"
+        if not path.exists():
+            raise StandbyError(f"{generation} has no table {table}")
+        found = json.loads(path.read_text())
+        return Layout(found["schema"], tuple(found["key"]), found["buckets"], {b: (g or generation, rel) for b, (g, rel) in found["parts"].items()})
+
+    def folders(self, layout: Layout, buckets: Sequence[int] | None = None) -> list[str]:
+        wanted = layout.parts if buckets is None or not layout.key else {str(b) for b in buckets} & layout.parts.keys()
+        return [str(self._folder(layout.parts[b][0]) / layout.parts[b][1]) for b in sorted(wanted)]
+
+    def read(self, spark: SparkSession, table: str, generation: str | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """All rows of a table, or those of some buckets."""
+        layout = self.layout(table, generation)
+        schema, folders = T.StructType.fromJson(layout.schema), self.folders(layout, buckets)
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
     def new_generation(self) -> str:
         generation = uuid.uuid4().hex
         (self.generations / f"{generation}.partial").mkdir(parents=True)
         return generation
 
-    def write(self, df: DataFrame, generation: str, table: str) -> None:
-        df.write.mode("error").parquet(str(self.generations / f"{generation}.partial" / table))
+    def _noted(self, generation: str, table: str, layout: Layout) -> None:
+        body = {"schema": layout.schema, "key": layout.key, "buckets": layout.buckets, "parts": layout.parts}
+        (self._folder(generation) / f"{table}.layout.json").write_text(json.dumps(body, sort_keys=True))
+
+    def write(self, df: DataFrame, generation: str, table: str, key: Sequence[str] = (), base: Layout | None = None, touched: Sequence[int] = ()) -> None:
+        """Write a table into a generation that is being made.
+
+        With ``base``, ``df`` has the rows of the ``touched`` buckets only, and the others are those of ``base``.
+        """
+        folder = self._folder(generation) / table
+        n = base.buckets if base else self.buckets if key else 1
+        parts: dict[str, tuple[str | None, str]] = {b: p for b, p in base.parts.items() if int(b) not in set(touched)} if base else {}
+        if key:
+            name = "bucket"
+            while name in {c.lower() for c in df.columns}:
+                name += "_"
+            df.withColumn(name, bucket_of(key, n)).repartition(F.col(name)).write.mode("error").partitionBy(name).parquet(str(folder))
+            parts |= {p.name.partition("=")[2]: (None, f"{table}/{p.name}") for p in folder.iterdir() if p.is_dir() and "=" in p.name}
+        else:
+            df.write.mode("error").parquet(str(folder))
+            parts = {"all": (None, table)}
+        self._noted(generation, table, Layout(df.schema.jsonValue(), tuple(key), n, parts))
+
+    def adopt(self, generation: str, table: str, layout: Layout) -> None:
+        """The table is the one that ``layout`` describes; nothing is copied."""
+        self._noted(generation, table, layout)
 
     def seal(self, generation: str) -> None:
         os.replace(self.generations / f"{generation}.partial", self.generations / generation)
@@ -120,6 +187,7 @@ class Store:
             os.fsync(out.fileno())
         failpoint("during_publish")
         os.replace(partial, self.root / "CURRENT")
+        (self.generations / generation / "PUBLISHED").touch()
         return before
 
     def discard(self, generation: str) -> None:
@@ -128,22 +196,47 @@ class Store:
             raise StandbyError(f"{generation} must not be discarded")
         for folder in (self.generations / generation, self.generations / f"{generation}.partial"):
             if folder.is_dir() and not folder.is_symlink():
+                for layout in folder.glob("*.layout.json"):
+                    layout.unlink()
+        self._collect()
+
+    def _listed(self) -> list[Path]:
+        """Folders of generations that have layouts, so are generations still."""
+        return [p for p in self.generations.iterdir() if GENERATION.fullmatch(p.name.removesuffix(".partial")) and any(p.glob("*.layout.json"))] if self.generations.is_dir() else []
+
+    def _collect(self) -> None:
+        """Remove the folders that no layout refers to any more."""
+        listed = self._listed()
+        used = {(g or p.name.removesuffix(".partial"), rel) for p in listed for f in p.glob("*.layout.json") for g, rel in json.loads(f.read_text())["parts"].values()}
+        current = self.current()
+        for folder in [p for p in self.generations.iterdir() if p not in listed and not p.is_symlink() and GENERATION.fullmatch(p.name.removesuffix(".partial")) and p.name != current]:
+            keep = {rel for g, rel in used if g == folder.name.removesuffix(".partial")}
+            if not keep:
                 shutil.rmtree(folder)
+                continue
+            for table in [p for p in folder.iterdir() if p.is_dir() and p.name not in keep]:
+                for part in [p for p in table.iterdir() if p.is_dir() and f"{table.name}/{p.name}" not in keep]:
+                    shutil.rmtree(part)
+                if not any(p.is_dir() for p in table.iterdir()):
+                    shutil.rmtree(table)
 
     def sweep(self) -> list[str]:
-        """Remove what crashed builds left behind."""
-        found = [p.name.removesuffix(".partial") for p in self.generations.glob("*.partial")] if self.generations.is_dir() else []
-        for generation in found:
+        """Remove what crashed operations left behind: unfinished generations, and finished ones that were never published."""
+        current = self.current()
+        found = [p for p in self.generations.iterdir() if p.is_dir()] if self.generations.is_dir() else []
+        left = [p.name.removesuffix(".partial") for p in found if p.name.endswith(".partial") or p in self._listed() and p.name != current and not (p / "PUBLISHED").exists()]
+        for generation in left:
             if GENERATION.fullmatch(generation):
                 self.discard(generation)
-        return sorted(found)
+        return sorted(left)
 
     def retain(self, keep: int = KEEP) -> list[str]:
         """Keep the current generation and the newest others up to ``keep``; returns what was removed."""
         if keep < 1:
             raise StandbyError("at least one generation is kept")
         current = self.current()
-        others = sorted((p for p in self.generations.iterdir() if GENERATION.fullmatch(p.name) and p.name != current), key=lambda p: (-p.stat().st_mtime, p.name))
+        since = lambda p: (p / "PUBLISHED" if (p / "PUBLISHED").exists() else p).stat().st_mtime
+        others = sorted((p for p in self._listed() if GENERATION.fullmatch(p.name) and p.name != current), key=lambda p: (-since(p), p.name))
         gone = [p.name for p in others[keep - 1 :]]
         for generation in gone:
             self.discard(generation)
@@ -178,14 +271,14 @@ class Store:
         found = [json.loads(p.read_text()) for p in sorted(folder.glob("*.json"))] if folder.is_dir() else []
         return [m for m in found if m.get("destination_id") == self.destination_id]
 
-    def digest_of_files(self, generation: str) -> str:
-        """SHA-256 over names and bytes of a generation's data files."""
+    def digest_of_files(self, spark: SparkSession, generation: str) -> str:
+        """SHA-256 over the names and digests of a generation's data files, which executors hash."""
+        folders = {str(f): f"{t}/{b}" for t in self.tables(generation) for lay in [self.layout(t, generation)] for b in lay.parts for f in [self._folder(lay.parts[b][0]) / lay.parts[b][1]]}
         total = hashlib.sha256()
-        for path in sorted((self.generations / generation).rglob("*.parquet")):
-            total.update(str(path.relative_to(self.generations / generation)).encode() + b"\0")
-            with path.open("rb") as data:
-                for block in iter(lambda: data.read(1 << 20), b""):
-                    total.update(block)
+        if folders:
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(folders)).select("path", F.sha2("content", 256).alias("digest"))
+            for path, digest in sorted((f"{folders[str(Path(r['path'].removeprefix('file:')).parent)]}/{Path(r['path']).name}", r["digest"]) for r in files.collect()):
+                total.update(f"{path}\0{digest}\0".encode())
         return total.hexdigest()
 
     @contextmanager

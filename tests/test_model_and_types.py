@@ -6,7 +6,7 @@ from standbyspark.model import Candidate, CandidateState, Column, Endpoint, Engi
 from standbyspark.operators import ddl, policy
 from standbyspark.operators.capture import identity_kind
 from standbyspark.operators.fingerprint import schema_fingerprint, signature
-from standbyspark.operators.reconcile import status_of, worst_status
+from standbyspark.operators.reconcile import status_of
 from standbyspark.model import Status
 
 
@@ -102,10 +102,10 @@ def test_fingerprint_ignores_index_order_and_names():
     assert signature(t(a, b), Engine.SQLITE) == signature(t(b, a), Engine.SQLITE)
 
 
-def test_status_order():
-    assert status_of() is Status.MATCH and status_of(manifest_missing=True) is Status.REBUILD_REQUIRED
-    assert status_of(objects=True, artifact_mismatch=True) is Status.DRIFT and status_of(drift=True, integrity_failed=True) is Status.BLOCKED
-    assert status_of(manifest_failing=True) is Status.REBUILD_REQUIRED and worst_status(Status.DRIFT, Status.BLOCKED) is Status.BLOCKED
+def test_status_order(spark):
+    assert status_of(spark) is Status.MATCH and status_of(spark, manifest_missing=True) is Status.REBUILD_REQUIRED
+    assert status_of(spark, objects=True, artifact_mismatch=True) is Status.DRIFT and status_of(spark, drift=True, integrity_failed=True) is Status.BLOCKED
+    assert status_of(spark, manifest_failing=True) is Status.REBUILD_REQUIRED
 
 
 def test_foreign_key_pairs():
