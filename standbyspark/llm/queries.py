@@ -95,6 +95,33 @@ b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_fail
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
  not (base_failed or 10 * n_symbols > n_words or word_chars > 15 * n_words or word_chars < 2 * n_words or 10 * n_repeat_words > 3 * n_words or 4 * shouts > n_words or upper_case > lower_case or 5 * digits > word_chars) as kept from b"""
 
+_URL_RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in url_filter.RULES)
+#: All subsets of the tokens of every labelled url, instead of a pattern tree; then the same tests and pruning.
+ORACLE_SQL["op4_url_filter"] = rf"""with
+u as (select page_id, url, case when url like '%://%' then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) else '' end as host,
+  case when url like '%://%' then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path from pages),
+k as (select *, case when host = '' then [] else list_distinct(
+   list_transform(list_filter(regexp_split_to_array(regexp_replace(host, '[.]?[^.]*$', ''), '[.-]'), lambda x: x <> ''), lambda x: 'h:' || x)
+   || list_transform(list_filter([regexp_extract(host, '([^.]*)$', 1)], lambda x: x <> ''), lambda x: 't:' || x)
+   || list_transform(list_filter(regexp_split_to_array(lower(path), '[^a-z0-9\x{{80}}-\x{{10FFFF}}]+'), lambda x: not regexp_full_match(x, '[0-9]*')), lambda x: 'p:' || x)
+   || list_transform(list_filter(regexp_extract_all(url, '[?&]([^=&#]+)=', 1), lambda x: x <> ''), lambda x: 'q:' || x)
+   || list_transform(list_filter([regexp_extract(path, '\.([A-Za-z]{{1,5}})$', 1)], lambda x: x <> ''), lambda x: 'e:' || x)
+   || list_transform(list_filter([regexp_extract(url, '^([A-Za-z]+)://', 1)], lambda x: x <> ''), lambda x: 's:' || x)) end as tokens,
+  try_cast(regexp_extract(url, '/(\d{{1,18}})[^/]*/?$', 1) as bigint) as doc from u),
+marks as (select doc_id as doc, max(case when toxic = 1 or quality = 0 then 1 else 0 end) as mark from labels where doc_id is not null group by 1),
+b as (select list_sort(tokens) as tokens, mark = 1 as bad from k join marks using (doc) where len(tokens) > 0 or mark = 1),
+n as (select count(*) as total, count(*) filter (bad) as n_bad from b),
+sub as (select bad, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) as items from (select bad, tokens, unnest(range(1, 1 << len(tokens))) as mask from b)),
+f as (select items, count(*) as freq, count(*) filter (bad) as bad_freq from sub group by 1),
+r as (select items, bad_freq / freq as confidence from f, n where bad_freq >= {url_filter.MIN_COUNT} and bad_freq >= ceil({url_filter.MIN_SUPPORT}::double * total) and bad_freq / freq >= {url_filter.MIN_CONFIDENCE}
+  and bad_freq - freq * (n_bad / total) >= {url_filter.SIGMAS}::double * sqrt(freq * (n_bad / total) * (1 - n_bad / total))),
+rules as (select * from r where not exists (select 1 from r as q where len(q.items) < len(r.items) and list_has_all(r.items, q.items) and q.confidence >= r.confidence)),
+hits as (select k.url, count(*) as n_rules, max(confidence) as confidence from (select distinct url, tokens from k where url is not null) k join rules on list_has_all(k.tokens, rules.items) group by 1),
+fixed(name, start, rule, verdict) as (values {_URL_RULES}),
+fit as (select page_id, url, max_by(rule, len(rule)) as rule, max_by(verdict, len(rule)) as verdict from (select distinct page_id, url, host, path from u) u join fixed on (host = name or ends_with(host, '.' || name)) and starts_with(path, start) group by 1, 2)
+select u.page_id, u.host, u.path, fit.rule, coalesce(fit.verdict, case when hits.n_rules > 0 then 'block' else 'allow' end) as verdict, coalesce(hits.n_rules, 0) as n_rules, hits.confidence
+ from u left join fit on fit.page_id is not distinct from u.page_id and fit.url is not distinct from u.url left join hits on hits.url = u.url"""
+
 _BLANKS = r"""' '||chr(9)||chr(13)||chr(11)||chr(12)"""
 ORACLE_SQL["op10_line_dedup"] = f"""with
 raw as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents where text is not null),

@@ -1,10 +1,11 @@
 """URL filters: fixed host/path rules first, then association rules mined by Spark's FP-growth, with DataFrame functions only.
 
-A url becomes a set of tokens: its host's labels and their hyphenated words, top-level domain, path segments
-without digits, file ending, query keys and scheme.  Labelled urls (bad or not) are the transactions, with one
-more item for bad ones.  Rules "tokens -> bad" of enough support and confidence remain; a rule is dropped if a part
-of its tokens is a rule of no less confidence.  Rules are kept in an inverted index under their rarest token: a
-url looks up only its own tokens, and a hit needs all tokens of the rule.
+A url becomes a set of tokens, each fact once: words of its host (between dots and hyphens) but the top-level domain, that
+domain, words of its path's segments (other than numbers), file ending, query keys and scheme.  Labelled urls (bad or not)
+are the transactions, with one more item for bad ones.  Rules "tokens -> bad" of enough support and confidence remain if the
+bad urls among theirs exceed what the base rate explains by ``SIGMAS`` standard deviations; a rule is dropped if a part of
+its tokens is a rule of no less confidence.  Rules are kept in an inverted index under their rarest token: a url looks up
+only its own tokens, and a hit needs all tokens of the rule.
 
 Defined results: null urls and urls without ``://`` have empty host and path, no tokens, and are allowed; repeated
 rows are judged alike; other columns may have any name; without labelled urls there are no mined rules.
@@ -20,10 +21,9 @@ from .common import checkpointed, small
 
 #: Production rules (host and path, verdict).
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
-#: Host words that label a url as bad where no document label says so.
-SEED_WORDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "warez")
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.0005, 0.8, 3
+MIN_SUPPORT, MIN_CONFIDENCE = 0.0005, 0.8
 MIN_COUNT = 5  #: bad urls that a rule must fit, whatever the support asks for
+SIGMAS = 5.0
 _BAD = "!bad"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -48,36 +48,34 @@ def fixed_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -
 
 def tokens(url: Column) -> Column:
     host, path = host_of(url), path_of(url)
-    labels = F.split(host, r"\.")
     tag = lambda kind, values: F.transform(F.filter(values, lambda x: x != ""), lambda x: F.concat(F.lit(kind + ":"), x))
-    segments = F.filter(F.split(F.lower(path), "/"), lambda x: ~x.rlike("[0-9]"))
+    domain = F.regexp_extract(host, r"([^.]*)$", 1)
+    inner = F.regexp_replace(host, r"[.]?[^.]*$", "")
+    words = F.filter(F.split(F.lower(path), r"[^a-z0-9\x{80}-\x{10FFFF}]+"), lambda x: ~x.rlike("^[0-9]*$"))
     keys = F.regexp_extract_all(url, F.lit(r"[?&]([^=&#]+)="), 1)
     ending = F.regexp_extract(path, r"\.([A-Za-z]{1,5})$", 1)
-    found = F.concat(tag("h", labels), tag("w", F.flatten(F.transform(labels, lambda x: F.split(x, "-")))), tag("t", F.slice(labels, -1, 1)), tag("p", segments), tag("q", keys), tag("e", F.array(ending)), tag("s", F.array(F.regexp_extract(url, r"^([A-Za-z]+)://", 1))))
+    found = F.concat(tag("h", F.split(inner, "[.-]")), tag("t", F.array(domain)), tag("p", words), tag("q", keys), tag("e", F.array(ending)), tag("s", F.array(F.regexp_extract(url, r"^([A-Za-z]+)://", 1))))
     return F.when(host != "", F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT, sigmas: float = SIGMAS) -> DataFrame:
     """(rule_id, items, confidence, support) from ``labelled(tokens, bad)``."""
     baskets = checkpointed(labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0))
-    total = baskets.count()
-    n_bad = baskets.filter(F.array_contains("items", _BAD)).count()
+    numbers = baskets.agg(F.count("*").alias("all"), F.count_if(F.array_contains("items", _BAD)).alias("bad")).first()
+    total, n_bad = numbers["all"], numbers["bad"]
     if n_bad == 0:
         return baskets.sparkSession.createDataFrame([], "rule_id long, items array<string>, confidence double, support double")
-    # a rule needs support among the bad baskets, so only their tokens can take part
-    usable = baskets.filter(F.array_contains("items", _BAD)).select(F.explode("items").alias("item")).groupBy("item").count().filter(F.col("count") >= max(min_support * total, MIN_COUNT))
-    per_item = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("all"))
-    # common tokens that are no more frequent among bad urls tell nothing and make the lattice large
-    telling = (F.col("all") < 0.6 * total) | (F.col("count") * total > 1.3 * F.col("all") * n_bad)
-    usable = usable.join(per_item, "item").filter((F.col("item") == _BAD) | telling).select("item")
-    kept = {r.item for r in usable.collect()}  # at most tokens-a-basket / min_support values
-    narrowed = baskets.select(F.array_intersect("items", F.array(*(F.lit(x) for x in sorted(kept)))).alias("items"))
+    # a token of every basket changes nobody's cover
+    everywhere = [r["item"] for r in baskets.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").count().filter(F.col("count") == total).collect() if r["item"] != _BAD]
+    narrowed = baskets.select(F.array_except("items", F.array(*(F.lit(x) for x in everywhere)).cast("array<string>")).alias("items"))
     frequent = checkpointed(FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(narrowed).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    bad = frequent.filter(F.array_contains("items", _BAD) & F.size("items").between(2, max_tokens + 1)).select(F.array_remove("items", _BAD).alias("items"), F.col("freq").alias("bad_freq"))
-    rules = bad.join(frequent, "items").select("items", "bad_freq", (F.col("bad_freq") / F.col("freq")).alias("confidence"), (F.col("bad_freq") / total).alias("support")).filter((F.col("confidence") >= min_confidence) & (F.col("bad_freq") >= MIN_COUNT))
-    rules = checkpointed(rules.select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support"))
+    bad = frequent.filter(F.array_contains("items", _BAD) & (F.size("items") > 1)).select(F.array_remove("items", _BAD).alias("items"), F.col("freq").alias("bad_freq"))
+    rate = n_bad / total
+    chance = F.col("freq") * rate
+    rules = bad.join(frequent, "items").filter((F.col("bad_freq") >= min_count) & (F.col("bad_freq") / F.col("freq") >= min_confidence) & (F.col("bad_freq") - chance >= F.lit(sigmas) * F.sqrt(chance * (1 - rate))))
+    rules = checkpointed(rules.select(F.xxhash64("items").alias("rule_id"), "items", (F.col("bad_freq") / F.col("freq")).alias("confidence"), (F.col("bad_freq") / total).alias("support")))
     keyed = rules.select("rule_id", "items", "confidence", F.explode("items").alias("item"))
-    part = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"), F.explode("items").alias("item"))
+    part = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"), F.array_min("items").alias("item"))
     implied = keyed.join(part, "item").filter((F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0) & (F.col("part_confidence") >= F.col("confidence"))).select("rule_id").distinct()
     return rules.join(implied, "rule_id", "left_anti")
 
@@ -91,7 +89,7 @@ def inverted_index(rules: DataFrame, per_item: DataFrame) -> DataFrame:
 def bad_urls(urls: DataFrame, index: DataFrame) -> DataFrame:
     """(url, n_rules, confidence) of the distinct ``urls(url)`` that some rule fits."""
     looked_up = urls.filter("url is not null").distinct().select("url", tokens(F.col("url")).alias("tokens")).select("url", "tokens", F.explode("tokens").alias("item"))
-    hits = looked_up.join(small(index, 200_000), "item").filter(F.size(F.array_except("items", "tokens")) == 0)
+    hits = looked_up.join(small(index, size=F.aggregate("items", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x) + 16)), "item").filter(F.size(F.array_except("items", "tokens")) == 0)
     return hits.groupBy("url").agg(F.count("*").alias("n_rules"), F.max("confidence").alias("confidence"))
 
 
@@ -112,13 +110,8 @@ def judged(pages: DataFrame, labelled_urls: DataFrame, rules: tuple[tuple[str, s
     return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"), "confidence")
 
 
-def labels_of_pages(pages: DataFrame, labels: DataFrame, seed_words: tuple[str, ...] = SEED_WORDS) -> DataFrame:
-    """(url, bad): a page is bad if its document (the number in its path) is toxic or of no quality, or its host has a seed word.
-
-    Pages without a labelled document are not labelled, unless their host has a seed word.
-    """
-    url = F.col("url").cast("string")
-    named = F.size(F.array_intersect(F.split(host_of(url), "[.-]"), F.array(*(F.lit(x) for x in seed_words)))) > 0
-    own = pages.select(url.alias("url"), F.regexp_extract(url, r"/(\d{1,18})[^/]*/?$", 1).try_cast("long").alias("doc"), named.alias("named"))
+def labels_of_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(url, bad): a page is bad if its document (the number at the end of its path) is toxic or of no quality; null without a label."""
+    own = pages.select(F.col("url").cast("string").alias("url")).withColumn("doc", F.regexp_extract("url", r"/(\d{1,18})[^/]*/?$", 1).try_cast("long"))
     marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc")).agg(F.max(((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")).alias("mark"))
-    return own.join(marks, "doc", "left").select("url", F.when(F.col("named"), True).otherwise(F.col("mark") == 1).alias("bad"))
+    return own.join(marks, "doc", "left").select("url", (F.col("mark") == 1).alias("bad"))
