@@ -5,8 +5,12 @@ the longest phrases that occur in the sample; c phrases against a sample of n sy
 as c log2(n) bits.  The language that needs the fewest bits wins, ties going to the first name.
 
 Symbols are UTF-8 bytes: letters lower-cased (A-Z and the capitals of Latin-1), bytes of other scripts as they are,
-and every run of anything else as one blank.  Texts are parsed whole, in blocks of ``BLOCK`` symbols that each start
-a phrase; all blocks of a batch advance together, one table look-up a symbol and language.
+and every run of anything else as one blank.  Texts are parsed whole, from end to end: blocks of ``BLOCK`` symbols advance
+together, one table look-up a symbol and language, each from the state in which the block before it was left; blocks
+are parsed again until these states stand, which is soon, as parses from different states fall into step.
+
+Every language with labelled text is learned.  The samples are bounded: about ``SAMPLE_DOCS`` documents of a language, of each
+a span of ``SAMPLE_CHARS`` characters at a place chosen by hash, and ``ALL_SYMBOLS`` symbols shared out over the languages.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; null ids are never held out; with
 no labelled text at all everything is ``und``; repeated rows are predicted alike; only doc_id, text and lang are read.
@@ -26,8 +30,8 @@ from . import textkit as tk
 from .common import crc_mod, ship
 
 SAMPLE_SYMBOLS = 48_000  #: of each language's automaton
-SAMPLE_DOCS, SAMPLE_CHARS = 120, 3_000  #: about so many documents of a language are sampled, so much of each
-MAX_LANGUAGES = 64  #: the most frequent ones are learned
+SAMPLE_DOCS, SAMPLE_CHARS = 120, 3_000  #: about so many documents of a language are sampled, a span of so many characters of each
+ALL_SYMBOLS = 64 * SAMPLE_SYMBOLS  #: of all automata together, so that their tables fit into a worker however many languages there are
 BLOCK = 512
 BATCH_BYTES = 1 << 22
 
@@ -118,20 +122,27 @@ def phrases(codes: np.ndarray, offsets: np.ndarray, table: np.ndarray, starts: n
     row = np.repeat(np.arange(len(n_blocks)), n_blocks)
     first = np.repeat(offsets[:-1], n_blocks) + BLOCK * (np.arange(len(row)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks))
     size = np.minimum(np.repeat(offsets[1:], n_blocks) - first, BLOCK)
-    order = np.argsort(-size, kind="stable")
-    row, first, size = row[order], first[order], size[order]
     out = np.zeros((len(n_blocks), len(starts)), dtype=np.int64)
     if not len(row):
         return out
     padded = np.concatenate([codes, np.full(BLOCK, _PAD, dtype=np.uint8)])
-    state = np.repeat(starts[:, None], len(row), axis=1)
-    count = np.zeros(state.shape, dtype=np.int64)
-    active = len(row) - np.searchsorted(size[::-1], np.arange(size[0]), side="right")
-    for t in range(int(size[0])):
-        k = int(active[t])
-        step = table.take(state[:, :k] * _WIDTH + padded[first[:k] + t])
-        count[:, :k] += step & 1
-        state[:, :k] = step >> 1
+    entry = np.repeat(starts[:, None], len(row), axis=1)
+    leave, count = np.empty_like(entry), np.zeros(entry.shape, dtype=np.int64)
+    todo = np.arange(len(row))
+    while len(todo):
+        todo = todo[np.argsort(-size[todo], kind="stable")]
+        active = len(todo) - np.searchsorted(size[todo][::-1], np.arange(size[todo[0]]), side="right")
+        state, found = entry[:, todo], np.zeros((len(starts), len(todo)), dtype=np.int64)
+        for t in range(int(size[todo[0]])):
+            k = int(active[t])
+            step = table.take(state[:, :k] * _WIDTH + padded[first[todo[:k]] + t])
+            found[:, :k] += step & 1
+            state[:, :k] = step >> 1
+        leave[:, todo], count[:, todo] = state, found
+        after = np.flatnonzero(row[1:] == row[:-1]) + 1  # blocks inside a text
+        moved = (leave[:, after - 1] != entry[:, after]).any(axis=0)
+        todo = after[moved]
+        entry[:, todo] = leave[:, todo - 1]
     for language in range(len(starts)):
         out[:, language] = np.bincount(row, weights=count[language], minlength=len(out)).astype(np.int64)
     return out
@@ -140,13 +151,15 @@ def phrases(codes: np.ndarray, offsets: np.ndarray, table: np.ndarray, starts: n
 def samples_of(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """(language, sample symbols) from the rows of ``docs(doc_id, text, lang)`` that may be learned from."""
     usable = docs.filter("lang is not null")
-    sizes = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = usable.groupBy("lang").count().collect()  # one row a language
     if not sizes:
         return ()
+    most = min(SAMPLE_SYMBOLS, max(ALL_SYMBOLS // len(sizes), 1))
     chance = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, SAMPLE_DOCS / r["count"]))))
     order = F.xxhash64(F.lit(11), F.col("doc_id"))
     share = F.shiftrightunsigned(order, 11) / F.lit(float(1 << 53))
-    rows = usable.withColumn("order", order).filter(share < F.element_at(chance, F.col("lang"))).filter("text is not null").select("lang", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"), "order").collect()
+    place = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    rows = usable.withColumn("order", order).filter(share < F.element_at(chance, F.col("lang"))).filter("text is not null").select("lang", F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text"), "order").collect()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["order"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"].encode())
@@ -155,7 +168,7 @@ def samples_of(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
         data = np.frombuffer(b" ".join(texts[lang]), dtype=np.uint8)
         codes, _ = symbols(data, np.array([0, len(data)]))
         if (codes > 0).any():
-            out.append((lang, codes[:SAMPLE_SYMBOLS].tobytes()))
+            out.append((lang, codes[:most].tobytes()))
     return tuple(out)
 
 

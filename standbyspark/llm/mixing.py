@@ -22,9 +22,9 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh
+from .common import BROADCAST_BYTES, checkpointed, fresh
 
-MAX_PERIOD = 20_000  #: slots of one period; more is refused, as the schedule is made on one row
+MAX_PERIOD = 20_000  #: slots of one period, weights having been divided by what they have in common; more is refused, as the schedule is made on one row
 BLOCK_ROWS = 16
 
 #: Production weights in parts of 100: the largest source is held to a tenth, the other sources share alike.
@@ -35,7 +35,7 @@ OTHER = 14
 def period_of(weights: dict[str, int], other: int) -> int:
     if other < 1 or any(w < 1 for w in weights.values()):
         raise ValueError("weights are whole numbers of at least 1")
-    total = sum(weights.values()) + other
+    total = (sum(weights.values()) + other) // math.gcd(other, *weights.values())
     if total > MAX_PERIOD:
         raise ValueError(f"weights add up to {total}; at most {MAX_PERIOD} slots are scheduled")
     return total
@@ -62,7 +62,8 @@ def mixed(docs: DataFrame, weights: dict[str, int], other: int, block_rows: int
     An added name that ``docs`` has already gets underscores at its end.
     """
     spark, period, names = docs.sparkSession, period_of(weights, other), sorted(weights)
-    parts = [weights[x] for x in names] + [other]
+    common = math.gcd(other, *weights.values())
+    parts = [weights[x] // common for x in names] + [other // common]
     group_of = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for i, name in enumerate(names) for x in (name, i))), F.col("source").cast("string")) if names else F.lit(None).cast("int"), F.lit(len(names)))
     grp, bucket, order, rank = (fresh(docs, x) for x in ("mix_grp", "mix_bucket", "mix_order", "mix_rank"))
     added = [fresh(docs, x) for x in ("mix_group", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_pos")]
@@ -82,7 +83,8 @@ def mixed(docs: DataFrame, weights: dict[str, int], other: int, block_rows: int
     ranked = ranked.withColumn(block, F.expr(f"`{rank}` div {block_rows}")).withColumn(nth, F.col(block) % n_of).withColumn(cycle, F.floor(F.col(block) / n_of))
     plan = schedule(spark, parts).select(F.col("grp").alias(grp), F.col("nth").cast("long").alias(nth), F.col("slot").alias("slot_"), F.col("before").alias("before_"))
     slot_, before_ = fresh(docs, "mix_slot_in"), fresh(docs, "mix_before")
-    timed = ranked.join(F.broadcast(plan.toDF(grp, nth, slot_, before_)), [grp, nth])
+    plan = plan.toDF(grp, nth, slot_, before_)
+    timed = ranked.join(F.broadcast(plan) if period * len(parts) * 8 <= BROADCAST_BYTES else plan, [grp, nth])
     have = F.array(*(F.struct(F.lit(p).cast("long").alias("n"), F.lit(totals.get(i, 0)).cast("long").alias("rows")) for i, p in enumerate(parts)))
     rows_before = F.aggregate(F.zip_with(have, F.col(before_), lambda h, b: F.least(h.rows, (F.col(cycle) * h.n + b) * block_rows)), F.lit(0).cast("long"), lambda a, x: a + x)
     label = F.get(F.array(*(F.lit(x) for x in names), F.lit("other")), F.col(grp))

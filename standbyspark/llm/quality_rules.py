@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Counts of whole texts come from one vectorised pass per Arrow batch.  The cascade times every rule and measures
-how often it rejects on a bounded sample, sorts the rules by rejections per second, and evaluates each rule only
-on rows that no earlier rule has rejected.  The order changes the cost, never a verdict.
+Counts of whole texts, which the result reports for every row, come from one vectorised pass per Arrow batch.  Executors time
+every rule and measure how often it rejects on rows sampled by hash over the whole table; the driver gets a few sums, sorts
+the rules by rejections per second, and each rule is evaluated only on rows that no earlier rule has rejected.  The order
+changes the cost, never a verdict.
 
 Defined results: null and empty texts have zero counts and fail the base rule; a null id is carried through;
 repeated rows are judged one by one; the counts do not depend on other columns, whose names may clash with ours
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import ship
 
-SAMPLE_ROWS = 2_000  #: rows on which cost and selectivity are estimated; any order gives the same verdicts
+SAMPLE_ROWS = 2_000  #: about so many rows on which cost and selectivity are estimated; any order gives the same verdicts
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -130,24 +131,50 @@ def base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
     return (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
 
 
-def measured_order(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list[tuple[str, float, float]]:
-    """(rule, seconds per row, share rejected) in the order of most rejections per second."""
-    column = pa.array(texts, type=pa.string())
-    if not len(column):
-        return [(r.name, 0.0, 0.0) for r in rules]
+def measured(column: pa.Array, rules: tuple[Rule, ...] = RULES) -> tuple[int, list[tuple[str, float, int]]]:
+    """(rows that pass the base rule, and of each rule the seconds for them and how many it rejects)."""
     counts = counts_of(column)
     view, found = View(column, counts, np.flatnonzero(~base_failed(counts))), []
-    n = max(len(view.rows), 1)
     for rule in rules:
         runs = []
         for _ in range(3):
             began = time.perf_counter()
             rejected = rule.rejects(view)
             runs.append(time.perf_counter() - began)
-        found.append((rule.name, min(runs) / n, float(np.sum(rejected)) / n))
+        found.append((rule.name, min(runs), int(np.sum(rejected))))
+    return len(view.rows), found
+
+
+def ranked(sums: dict[str, tuple[int, float, int]], rules: tuple[Rule, ...] = RULES) -> list[tuple[str, float, float]]:
+    """(rule, seconds per row, share rejected) in the order of most rejections per second, from sums of (rows, seconds, rejected)."""
+    none = (0, 0.0, 0)
+    found = [(r.name, sums.get(r.name, none)[1] / max(sums.get(r.name, none)[0], 1), sums.get(r.name, none)[2] / max(sums.get(r.name, none)[0], 1)) for r in rules]
     return sorted(found, key=lambda x: -(x[2] + 1e-6) / (x[1] + 1e-9))
 
 
+def measured_order(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list[tuple[str, float, float]]:
+    """``ranked`` for one list of texts."""
+    if not texts:
+        return ranked({}, rules)
+    n, found = measured(pa.array(texts, type=pa.string()), rules)
+    return ranked({name: (n, seconds, rejected) for name, seconds, rejected in found}, rules)
+
+
+def sampled_order(docs: DataFrame, rules: tuple[Rule, ...], sample_rows: int) -> list[str]:
+    """The names of the rules in the order that a sample of ``docs(doc_id, text)`` by hash suggests; measured where the rows are."""
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(9), "doc_id", F.length("text")), 11) / F.lit(float(1 << 53))
+    sample = docs.filter(share < sample_rows / max(docs.select("doc_id").count(), 1)).select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tk.slices(batch):
+                n, found = measured(part.column(0), rules)
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([n] * len(found), pa.int64()), pa.array([x[1] for x in found]), pa.array([x[2] for x in found], pa.int64())], names=["rule", "n", "seconds", "rejected"])
+
+    sums = sample.mapInArrow(run, "rule string, n long, seconds double, rejected long").groupBy("rule").agg(F.sum("n").alias("n"), F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"))
+    return [x[0] for x in ranked({r["rule"]: (r["n"], r["seconds"], r["rejected"]) for r in sums.collect()}, rules)]
+
+
 def judge(column: pa.Array, order: list[str], rules: tuple[Rule, ...] = RULES) -> dict[str, np.ndarray]:
     """The counts, base verdict, final verdict and first rejecting rule (null if none) of each row."""
     counts, by_name = counts_of(column), {r.name: r for r in rules}
@@ -171,7 +198,7 @@ def apply(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = S
     """Judge ``docs(doc_id, text)``: one row out for each row in."""
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    order = [x[0] for x in measured_order([r.text for r in docs.select("text").limit(sample_rows).collect()], rules)]
+    order = sampled_order(docs, rules, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -87,15 +87,13 @@ def test_phrase_counts_equal_greedy_parsing(monkeypatch):
     monkeypatch.setattr(language_id, "BLOCK", 11)
     rng = random.Random(8)
     samples = tuple((n, bytes(rng.choice(a) for _ in range(80))) for n, a in (("x", [1, 2, 3]), ("y", [2, 3, 4, 5])))
-    texts = [bytes(rng.randrange(1, 7) for _ in range(rng.randrange(40))) for _ in range(50)]
+    texts = [bytes(rng.randrange(1, 7) for _ in range(rng.randrange(40))) for _ in range(50)] + [samples[0][1][5:75], samples[1][1] * 3]
 
     def greedy(text, sample):
         n = 0
-        for lo in range(0, len(text), 11):
-            block = text[lo : lo + 11]
-            while block:
-                k = next((k for k in range(len(block), 0, -1) if block[:k] in sample), 1)
-                n, block = n + 1, block[k:]
+        while text:
+            k = next((k for k in range(len(text), 0, -1) if text[:k] in sample), 1)
+            n, text = n + 1, text[k:]
         return n
 
     table, starts, _ = language_id.parser(samples)
@@ -109,6 +107,44 @@ def test_language_of_held_out_documents(spark):
     assert got[0] > 0.97 and 0 <= got[1] <= got[2] <= 1
 
 
+def test_every_language_is_learned(make, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a + b for a in "abcdefghi" for b in letters[:8]]  # 72 languages, each of three letters of its own
+    alphabet = {n: [chr(0x400 + 3 * i + k) for k in range(3)] for i, n in enumerate(names)}
+    rng = random.Random(3)
+    rows = [(10 * i + k, " ".join("".join(rng.choice(alphabet[n]) for _ in range(5)) for _ in range(20)), n) for i, n in enumerate(names) for k in range(10)]
+    docs = make(rows)
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identified(docs).collect()}
+    known = {n for d, _, n in rows if zlib.crc32(str(d).encode()) % 3 != 1}
+    assert len(known) == 72 and sum(got[d] == n for d, _, n in rows) >= 0.95 * len(rows)  # some share bytes
+    monkeypatch.setattr(language_id, "ALL_SYMBOLS", 72 * 100)
+    assert all(len(s) <= 100 for _, s in language_id.samples_of(docs)) and len(language_id.samples_of(docs)) == 72
+
+
+def test_predictions_equal_plain_greedy_parsing(make):
+    rng = random.Random(4)
+    words = {"xx": ["bana", "nana", "ban", "na"], "yy": ["nab", "anna", "bab", "a"]}
+    rows = [(i, " ".join(rng.choice(words[n]) for _ in range(rng.randrange(1, 300))), n) for i in range(60) for n in [rng.choice(["xx", "yy"])]]
+    docs = make([*rows, (900, "b", None), (901, "123", None), (902, None, None)])
+    samples = language_id.samples_of(docs.filter(~(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)))
+    code = lambda text: bytes(0 if not c.isalpha() else ord(c) - 96 for c in text)
+
+    def cost(text, sample):
+        text, n = code(text), 0
+        while text:
+            k = next((k for k in range(min(len(text), 80), 0, -1) if text[:k] in sample), 1)
+            n, text = n + 1, text[k:]
+        return n * math.log2(max(len(sample), 2))
+
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identified(docs).collect()}
+    assert got[901] == got[902] == ("und", 0.0)
+    for d, text, _ in rows:
+        costs = [cost(text, s) for _, s in samples]
+        best = min(range(len(samples)), key=lambda i: costs[i])  # ties go to the first name
+        assert got[d][0] == samples[best][0]
+        assert math.isclose(got[d][1], 1 / sum(2 ** -min((c - costs[best]) / 8, 1000) for c in costs), rel_tol=1e-9)
+
+
 def test_language_edges(odd):
     got = {(r["doc_id"], r["lang_pred"]) for r in language_id.identified(odd).collect()}
     assert {(None, "und"), (1, "und"), (2, "und"), (3, "und")} <= got and all(x != "und" for d, x in got if d in (4, 5, -6, 7))
