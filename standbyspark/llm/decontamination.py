@@ -12,7 +12,8 @@ its tokens stand one after another, a document of ``LEAST`` to ``WINDOW`` - 1 to
 and shorter ones only if document and item are equal.
 
 Plan: a bitset of ``BITS`` bits over the benchmark's seeds reaches every task as a scalar subquery, at every size of the
-benchmark; seeds of documents that it does not mark are not spread into rows, the others are joined exactly.
+benchmark, another marks the pairs of tokens that they begin with; seeds of documents are made only at marked pairs, and
+those that are marked themselves are spread into rows and joined exactly.
 
 Defined results: null texts and texts without tokens never match; null ids are carried; rows that agree in ``doc_id`` and
 ``text`` are one document; other columns are ignored or carried whatever their names.
@@ -28,7 +29,8 @@ from .common import checkpointed, fresh, small
 #: Kept positions of each mask: every 13 aligned tokens of which 10 agree have a seed.
 MASKS = ((0, 2, 6, 7, 8), (0, 1, 2, 4, 5), (0, 1, 2, 5, 8))
 #: Used too if there are items of 10 to 12 tokens, for which the others leave a few cases out.
-SHORT_MASK = (0, 1, 3, 4)
+SHORT_MASK = (0, 2, 3, 4)
+PAIR = 2  #: every mask keeps positions 0 and PAIR, so only places whose pair the benchmark has need a look
 SPAN, WINDOW, SHARE = 10, 13, 75
 LEAST = 5  #: tokens of a passage that is compared at all inside something longer
 BITS = 1 << 23
@@ -47,16 +49,31 @@ def _run(t: Column, size: Column | int, salt: int = 9) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(t) - size), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), size, F.slice(t, i + 1, size)).alias("h")))
 
 
-def _seeds(t: Column, masks: tuple[tuple[int, ...], ...], lengths: tuple[int, ...] = ()) -> Column:
-    """(pos, h) of all seeds of all masks one after another, and of the runs of the given lengths."""
+def _pair(t: Column, i: Column) -> Column:
+    """The two positions that every mask keeps."""
+    return F.xxhash64(F.lit(7), F.get(t, i), F.get(t, i + PAIR))
+
+
+def _pairs(t: Column) -> Column:
+    """Places at which a seed may begin."""
+    least = min(mask[-1] for mask in (*MASKS, SHORT_MASK)) + 1
+    return F.when(F.size(t) >= SPAN, F.sequence(F.lit(0), F.size(t) - least)).otherwise(F.array().cast("array<int>"))
+
+
+def _seeds(t: Column, at: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
+    """(pos, h) of the seeds of all masks that begin at the places ``at``."""
 
     def seeds_of(mask: tuple[int, ...], salt: int) -> Column:
-        at = F.sequence(F.lit(0), F.size(t) - (mask[-1] + 1))
-        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), *(F.get(t, i + k) for k in mask)).alias("h")))
+        inside = F.filter(at, lambda i: i < F.size(t) - mask[-1])
+        return F.transform(inside, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(salt), *(F.get(t, i + k) for k in mask)).alias("h")))
+
+    return F.concat(*(seeds_of(mask, salt) for salt, mask in enumerate(masks)))
+
 
+def _runs(t: Column, lengths: tuple[int, ...]) -> list[Column]:
+    """(pos, h) of the runs of each of the given lengths."""
     none = F.array().cast("array<struct<pos:int,h:bigint>>")
-    spaced = F.when(F.size(t) >= SPAN, F.concat(*(seeds_of(mask, salt) for salt, mask in enumerate(masks)))).otherwise(none)
-    return F.concat(spaced, *(F.when(F.size(t) >= n, _run(t, n)).otherwise(none) for n in lengths))
+    return [F.when(F.size(t) >= n, _run(t, n)).otherwise(none) for n in lengths]
 
 
 def _whole(t: Column) -> Column:
@@ -100,10 +117,17 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = (*MASKS, SHORT_MASK) if any(n >= SPAN for n in sizes) else MASKS
     lengths = tuple(sorted(n for n in sizes if LEAST <= n < SPAN))
     spread = lambda df, *keys: df.select(*keys, F.inline("seeds"))
-    item_seeds = F.concat(_seeds(F.col("t"), masks, ()), F.when(F.size("t").isin(list(lengths)), _run(F.col("t"), F.size("t"))).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>")), _inner_runs(F.col("t")))
-    seeds = checkpointed(spread(items.withColumn("seeds", item_seeds), "item").withColumnRenamed("pos", "item_pos").distinct(), narrow=True)
-    own = located.select("k1", "k2", "t", _bitset(seeds).alias("marks"))
-    rows = own.select("k1", "k2", F.inline(F.filter(F.concat(_seeds(F.col("t"), masks, lengths), _whole(F.col("t"))), lambda s: _marked(s.h, F.col("marks")))))
+    own_run = F.when(F.size("t").isin(list(lengths)), _run(F.col("t"), F.size("t"))).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
+    item_seeds = F.concat(_seeds(F.col("t"), F.col("at"), masks), own_run, _inner_runs(F.col("t")))
+    placed = items.select("item", "t", F.explode(F.array(_pairs(F.col("t")))).alias("at"))
+    seeds = checkpointed(spread(placed.withColumn("seeds", item_seeds), "item").withColumnRenamed("pos", "item_pos").distinct(), narrow=True)
+    pairs = placed.select(F.explode(F.transform("at", lambda i: _pair(F.col("t"), i))).alias("h"))
+    own = located.select("k1", "k2", "t", _bitset(pairs).alias("pair_marks"))
+    own = own.select("k1", "k2", "t", F.explode(F.array(F.filter(_pairs(F.col("t")), lambda i: _marked(_pair(F.col("t"), i), F.col("pair_marks"))))).alias("at"))
+    if not lengths:  # longer documents match by spaced seeds only
+        own = own.filter((F.size("at") > 0) | (F.size("t") < WINDOW))
+    own = own.select("k1", "k2", "t", "at", _bitset(seeds).alias("marks"))
+    rows = own.select("k1", "k2", F.inline(F.filter(F.concat(_seeds(F.col("t"), F.col("at"), masks), *_runs(F.col("t"), lengths), _whole(F.col("t"))), lambda s: _marked(s.h, F.col("marks")))))
     hits = checkpointed(rows.join(small(seeds), "h").select("k1", "k2", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), narrow=True)
     found = keyed.join(small(hits.select("k1", "k2").distinct()), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "doc_id", F.explode(F.array(pieces(F.col("text")))).alias("d"))
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("b"), F.size("d") - F.col("shift")) - 1
