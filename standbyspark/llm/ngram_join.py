@@ -220,6 +220,7 @@ class _Sets:
                 n_a, n_b, wide_a, wide_b = (batch.column(i).to_pylist() for i in range(2, 6))
                 good = [i for i, (x, y) in enumerate(zip(n_a, n_b, strict=True)) if wide_bound(x, y, wide_a[i], wide_b[i]) >= -(-num * (x + y) // (num + den))]
                 yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+            tk.release()
 
         def do(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -230,6 +231,7 @@ class _Sets:
                     if den * both >= num * (len(x) + len(y) - both):
                         good.append(i)
                 yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+            tk.release()
 
         side = lambda df, x, *cols: df.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
         signed = pairs.join(side(self.signed, "a", "n", "wide"), "a").join(side(self.signed, "b", "n", "wide"), "b")
@@ -347,6 +349,7 @@ def _tile_pairs(tiles: DataFrame, signed: DataFrame, refuted: DataFrame | None,
             held = rows.slice(start)
         if held is not None:
             yield out(held)
+        tk.release()
 
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "key long, a long, b long, whole boolean")
 

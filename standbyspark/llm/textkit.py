@@ -8,6 +8,8 @@ per byte than many short ones.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEGMENT = 1 << 19
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -50,6 +52,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that a worker between two tasks holds little of it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``most`` bytes of text (a longer single text stays whole)."""
     index = batch.schema.get_field_index(column)
@@ -61,6 +70,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_BYTES)
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         if hi > lo:
             yield batch.slice(lo, hi - lo)
+    release()
 
 
 @dataclass
