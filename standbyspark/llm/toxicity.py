@@ -11,11 +11,16 @@ at most ``CONTEXT`` characters to each side) are decoded; elsewhere no path give
 their own restoration.
 
 *Scoring.*  Features are words, beginnings of words, and beginnings that two different words of a text have.  The lexicon
-has those of high precision whose number of toxic documents chance does not explain: binomial tails, false discovery rate
+has those of high precision whose number of toxic documents chance does not explain: hypergeometric tails, false discovery rate
 ``FDR``, and of related features (one beginning) only those significant on documents that a better one leaves.  Disguised tokens of the training texts are restored before they are counted; families of near copies count once,
 so words that merely stand in copied toxic texts are not learned.  A text's score is the noisy-or of its restored
 words' precisions over the rate without any.
 
+*Learning.*  All labelled documents that are not held out are learned from, none is sampled.  Their words, the character
+model's counts and the features' counts are summed by shuffles; the driver gets the character model, how many features have
+which counts (which fixes the false discovery rate's cut), and the significant features.  Toxic near copies are those that share
+one of ``BANDS`` pairs of least hashes of three-word shingles with a toxic document of more words (or, if as many, a lesser digest).
+
 Defined results: null and empty texts get the base rate; labels that are null, and held-out rows, are not learned
 from; of several labels of an id the largest counts, of several texts of an id the one of the least hash is learned from;
 null ids are never held out; equal rows score alike, and ties between readings go to the first in alphabetical order.
@@ -23,31 +28,32 @@ null ids are never held out; equal rows score alike, and ties between readings g
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
-from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import checkpointed, crc_mod, ship, small
+from .common import checkpointed, crc_mod, forgotten, ship, small, staged
 
-SAMPLE_DOCS = 2_500  #: labelled documents of each class that are learned from, at most about so many; whole texts
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6)
 MIN_PRECISION, FDR, MIN_DOCS = 0.6, 0.05, 4
 ORDER = 5
 CONTEXT = 64  #: characters beside a place that are decoded with it
 CACHE = 50_000  #: tokens a worker remembers
+PARTIAL, ROWS = 200_000, 500  #: names a worker counts before it hands their counts on to be summed; rows it takes from Arrow at once
+SHINGLE, BANDS = 3, 16  #: words of a shingle; pairs of least hashes, of which near copies share one
 
 #: Characters and the letters they may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
@@ -289,127 +295,363 @@ def scorer(model: Model) -> Scorer:
     return Scorer(model)
 
 
-def log_tail(hits: int, n: int, rate: float) -> float:
-    """log of the chance of at least ``hits`` toxic documents among ``n`` at this rate (its first term and a geometric bound)."""
+def _choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+
+def log_tail(hits: int, n: int, rate: float, total: int | None = None) -> float:
+    """log of the chance of at least ``hits`` toxic documents among ``n`` at this rate (its first term and a geometric bound).
+
+    With ``total``, the ``n`` are drawn from so many documents, of which the rate is toxic (hypergeometric, not binomial).
+    """
     if hits <= n * rate:
         return 0.0
-    first = math.lgamma(n + 1) - math.lgamma(hits + 1) - math.lgamma(n - hits + 1) + hits * math.log(rate) + (n - hits) * math.log(1 - rate)
-    ratio = (n - hits) / (hits + 1) * rate / (1 - rate)
+    if total is None:
+        first = _choose(n, hits) + hits * math.log(rate) + (n - hits) * math.log(1 - rate)
+        ratio = (n - hits) / (hits + 1) * rate / (1 - rate)
+    else:
+        toxic = round(rate * total)
+        first = _choose(toxic, hits) + _choose(total - toxic, n - hits) - _choose(total, n)
+        ratio = (toxic - hits) * (n - hits) / (hits + 1) / (total - toxic - n + hits + 1)
     return min(first - math.log(1 - ratio), 0.0)
 
 
-def significant(counts: dict[str, tuple[int, int]], rate: float, fdr: float = FDR) -> tuple[set[str], float]:
+def cut_of(tails: Iterable[tuple[float, int]], fdr: float = FDR) -> float:
+    """The largest log tail that passes Benjamini and Hochberg's procedure, of (log tail, number of names that have it)."""
+    able = sorted(tails)
+    total, at, cut = sum(n for _, n in able), 0, -math.inf
+    for p, n in able:
+        at += n
+        if p <= math.log(fdr * at / total):
+            cut = p
+    return cut
+
+
+def significant(counts: dict[str, tuple[int, int]], rate: float, fdr: float = FDR, total: int | None = None) -> tuple[set[str], float]:
     """The names of ``counts`` (toxic and clean documents) that pass Benjamini and Hochberg's procedure, and the largest log tail among them.
 
     Names in under ``MIN_DOCS`` documents of either kind take no part: hardly any could pass, and leaving them out by
     their total, which says nothing of their share of toxic documents, does not bias the others.
     """
-    able = sorted((log_tail(a, a + b, rate), name) for name, (a, b) in counts.items() if a + b >= MIN_DOCS)
-    passed = max((i for i, (p, _) in enumerate(able, 1) if p <= math.log(fdr * i / len(able))), default=0)
-    return {name for _, name in able[:passed]}, able[passed - 1][0] if passed else -math.inf
-
-
-def unalike(docs: list[array], sketch: int = 16, alike: int = 5) -> list[array]:
-    """One document of each family: one goes if ``alike`` of its ``sketch`` least hashes are those of an earlier one."""
-    owners: dict[int, list[int]] = {}
-    out: list[array] = []
-    for own in sorted(docs, key=lambda s: (-len(s), s[:1])):
-        least = heapq.nsmallest(sketch, ((i * 0x9E3779B1 ^ i >> 7) * 0x85EBCA6B & 0xFFFFFFFF for i in own))
-        shared = Counter(i for h in least for i in owners.get(h, ()))
-        if shared and max(shared.values()) >= min(alike, len(least)):
-            continue
-        for h in least:
-            owners.setdefault(h, []).append(len(out))
-        out.append(own)
-    return out
+    able = {name: log_tail(a, a + b, rate, total) for name, (a, b) in counts.items() if a + b >= MIN_DOCS}
+    cut = cut_of(((p, 1) for p in able.values()), fdr)
+    return {name for name, p in able.items() if p <= cut}, cut
+
+
+def kinds(tokens: Iterable[str]) -> tuple[set[str], set[str]]:
+    """The words among lower-case tokens, and the tokens that may be disguised words."""
+    plain, hidden = set(), set()
+    for token in tokens:
+        bare = token.strip(EDGE)
+        if bare.isalpha():
+            plain.add(bare)
+        elif len(token) <= CONTEXT and not any(c.isspace() for c in token):
+            hidden.add(token)
+    return plain, hidden
+
+
+def digest(plain: set[str], hidden: set[str]) -> int:
+    """What copies of one text agree in, as a signed 64-bit number."""
+    return int(np.uint64(xxhash.xxh64_intdigest("\n".join([*sorted(plain), *("?" + t for t in sorted(hidden))]))).astype(np.int64))
+
+
+_SEEDS = tk.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
+
+
+def bands(tokens: list[str]) -> list[int]:
+    """A text's pairs of least hashes: of ``BANDS`` pairs of permutations, over the shingles of its tokens in order."""
+    if not tokens:
+        return []
+    shingles = {" ".join(tokens[i : i + SHINGLE]) for i in range(max(len(tokens) - SHINGLE + 1, 1))}
+    hashes = np.fromiter((xxhash.xxh64_intdigest(x) for x in shingles), dtype=np.uint64, count=len(shingles))
+    least = np.array([tk.mix(hashes ^ seed).min() for seed in _SEEDS], dtype=np.uint64)
+    return tk.mix(tk.mix(least[:BANDS] ^ _SEEDS[:BANDS]) ^ least[BANDS:]).astype(np.int64).tolist()
+
+
+def features(words: Iterable[str]) -> list[str]:
+    """The features of a text's distinct words: words (w), beginnings (p) and beginnings of two different words (m)."""
+    begin = Counter(w[:k] for w in words for k in BEGINNINGS if len(w) >= k)
+    return ["w:" + w for w in words] + ["p:" + b for b in begin] + ["m:" + b for b, n in begin.items() if n > 1]
+
+
+def family(name: str) -> str:
+    """What related features have in common; those of a word belong to the family of its own beginning."""
+    return name[2 : 2 + BEGINNINGS[0]]
+
+
+def related(words: Iterable[str], families: set[str] | dict) -> list[str]:
+    """The features of the words that belong to ``families``."""
+    return features([w for w in words if w[: BEGINNINGS[0]] in families])
+
+
+def precision(toxic: int, clean: int, weight_clean: float = 1.0, weight_toxic: float = 1.0) -> float:
+    return weight_toxic * toxic / (weight_toxic * toxic + weight_clean * (clean + 0.5))
+
+
+def chosen(counts: dict[str, tuple[int, int]], held: Iterable[tuple[frozenset[str], int]], rate: float, total: int, cut: float, weights: tuple[float, float] = (1.0, 1.0)) -> dict[str, float]:
+    """The features of one family that enter the lexicon, and their precisions: the most significant ones first, and of the others those
+    that are still significant on the documents that these leave.  ``counts``: toxic and clean documents of the significant features;
+    ``held``: which of them toxic documents hold, and how many documents."""
+    lexicon: dict[str, float] = {}
+    left, order = list(held), {"w": 0, "m": 1, "p": 2}
+    for _, _, _, f in sorted((log_tail(a, a + b, rate, total), order[f[0]], -len(f), f) for f, (a, b) in counts.items()):
+        precise = precision(*counts[f], *weights)
+        hits = sum(n for own, n in left if f in own) if precise >= MIN_PRECISION else 0
+        if hits and log_tail(hits, hits + counts[f][1], rate, total) <= cut:
+            lexicon[f] = precise
+            left = [x for x in left if f not in x[0]]
+    return lexicon
+
+
+def rate_of(toxic: int, clean: int) -> float:
+    return min(max(toxic / max(toxic + clean, 1), 1e-6), 1 - 1e-6)
+
+
+def model_of(lexicon: dict[str, float], grams: dict[str, int], missed: float, quiet: float) -> Model:
+    """``missed``, ``quiet``: toxic and clean documents without a feature of the lexicon."""
+    return Model(tuple(sorted(lexicon.items())), tuple(sorted(grams.items())), min((missed + 0.1) / (missed + quiet + 1.0), 0.25))
+
+
+def undisguised(token: str, chars: CharModel) -> str:
+    return restored(_LONG_RUN.sub(r"\1\1\1", token), chars)[1]
 
 
 def learned(rows: Iterable[tuple[list[str], int]], weight_clean: float, weight_toxic: float) -> Model:
-    """The model of sampled (distinct lower-case tokens, label) rows; each stands for so many labelled rows of its class."""
-    ids: dict[str, int] = {}
-    kept: dict[int, dict[int, array]] = {0: {}, 1: {}}  # by digest, so that copies of one text count once
+    """The model of (lower-case tokens in order, label) rows in memory, each standing for so many rows of its class; with weights of 1, what
+    ``fit`` learns from the same documents."""
+    docs: dict[int, dict[int, tuple[set[str], set[str], list[int]]]] = {0: {}, 1: {}}  # by digest, so that copies of one text count once
     spread: Counter[str] = Counter()
-    disguised: set[str] = set()
     for tokens, label in rows:
-        plain, hidden = set(), set()
-        for token in tokens:
-            bare = token.strip(EDGE)
-            if bare.isalpha():
-                plain.add(bare)
-            elif len(token) <= CONTEXT and not any(c.isspace() for c in token):
-                hidden.add(token)
+        plain, hidden = kinds(tokens)
         spread.update(plain)
-        disguised |= hidden
-        names = sorted(plain) + ["?" + t for t in sorted(hidden)]
-        kept[label][xxhash.xxh64_intdigest("\n".join(names))] = array("I", (ids.setdefault(w, len(ids)) for w in names))
-    names, grams = list(ids), grams_of(spread)
+        docs[label].setdefault(digest(plain, hidden), (plain, hidden, bands(tokens) if label else []))
+    first: dict[int, tuple[int, int]] = {}
+    for key, (plain, hidden, own) in docs[1].items():
+        for band in own:
+            first[band] = min(first.get(band, (1, 0)), (-len(plain) - len(hidden), key))
+    for key in [k for k, (_, _, own) in docs[1].items() if any(first[band][1] != k for band in own)]:
+        del docs[1][key]
     # a disguised token restores to one training word only if both are the same when squeezed
-    looks = {squeezed(w) for w in spread if len(w) > 3}
+    grams, looks = grams_of(spread), {squeezed(w) for w in spread if len(w) > 3}
     chars = CharModel(grams)
-    meant = {ids["?" + t]: ids.get(restored(_LONG_RUN.sub(r"\1\1\1", t), chars)[1]) for t in sorted(disguised) if squeezed(t) in looks}
-    is_plain_id = [n[0] != "?" for n in names]
-
-    def plain_ids(own: array) -> set[int]:
-        return {x for i in own if (x := i if is_plain_id[i] else meant.get(i)) is not None and len(names[x]) > 1}
-
-    toxic, clean = [plain_ids(s) for s in unalike(list(kept[1].values()))], [plain_ids(s) for s in kept[0].values()]
-    starts = {i: [names[i][:k] for k in BEGINNINGS if len(names[i]) >= k] for i in set().union(*toxic)}
-    wanted = {b for own in starts.values() for b in own}
-
-    def features(own: set[int], known: bool) -> list[str]:
-        """Word, beginning and repeated-beginning features; of clean documents only those that toxic ones have."""
-        words = [i for i in own if i in starts] if not known else own
-        begin = Counter(b for i in own for b in (starts[i] if i in starts else [names[i][:k] for k in BEGINNINGS if len(names[i]) >= k]) if b in wanted)
-        return ["w:" + names[i] for i in words] + [f for b, n in begin.items() for f in (("p:" + b, "m:" + b) if n > 1 else ("p:" + b,))]
-
-    holders: dict[str, list[int]] = {}
-    for at, own in enumerate(toxic):
-        for f in features(own, True):
-            holders.setdefault(f, []).append(at)
-    in_clean: Counter[str] = Counter()
-    for own in clean:
-        in_clean.update(f for f in features(own, False) if f in holders)
-    rate = min(max(len(toxic) / max(len(toxic) + len(clean), 1), 1e-6), 1 - 1e-6)
-    passed, cut = significant({f: (len(h), in_clean[f]) for f, h in holders.items()}, rate)
-
-    def precise(f: str) -> float:
-        return weight_toxic * len(holders[f]) / (weight_toxic * len(holders[f]) + weight_clean * (in_clean[f] + 0.5))
-
+    meant = {t: undisguised(t, chars) for t in {t for own in docs.values() for _, hidden, _ in own.values() for t in hidden} if squeezed(t) in looks}
+    toxic, clean = ([{w for w in plain | {meant[t] for t in hidden if meant.get(t) in spread} if len(w) > 1} for plain, hidden, _ in docs[c].values()] for c in (1, 0))
+    in_toxic, in_clean = (Counter(f for own in side for f in features(own)) for side in (toxic, clean))
+    rate, total = rate_of(len(toxic), len(clean)), len(toxic) + len(clean)
+    passed, cut = significant({f: (n, in_clean[f]) for f, n in in_toxic.items()}, rate, total=total)
     lexicon: dict[str, float] = {}
-    explained: dict[str, set[int]] = {}  # by the least beginning, the documents that a chosen feature of that beginning explains
-    order = {"w": 0, "m": 1, "p": 2}
-    for _, f in sorted((log_tail(len(holders[f]), len(holders[f]) + in_clean[f], rate), (order[f[0]], -len(f), f)) for f in passed):
-        f = f[-1]
-        family = explained.setdefault(f[2 : 2 + BEGINNINGS[0]], set())
-        left = [x for x in holders[f] if x not in family]
-        if precise(f) >= MIN_PRECISION and log_tail(len(left), len(left) + in_clean[f], rate) <= cut:
-            lexicon[f] = precise(f)
-            family.update(left)
-    missed = weight_toxic * (len(toxic) - len(set().union(*(holders[f] for f in lexicon))))
-    quiet = weight_clean * sum(1 for s in clean if lexicon.keys().isdisjoint(features(s, False)))
-    return Model(tuple(sorted(lexicon.items())), tuple(sorted(grams.items())), min((missed + 0.1) / (missed + quiet + 1.0), 0.25))
+    for group in sorted({family(f) for f in passed}):
+        counts = {f: (in_toxic[f], in_clean[f]) for f in passed if family(f) == group}
+        lexicon |= chosen(counts, [(frozenset(related(own, {group})), 1) for own in toxic], rate, total, cut, (weight_clean, weight_toxic))
+    missed, quiet = (sum(1 for own in side if lexicon.keys().isdisjoint(features(own))) for side in (toxic, clean))
+    return model_of(lexicon, grams, weight_toxic * missed, weight_clean * quiet)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from ``labels(doc_id, toxic)`` of ids whose crc32 modulo 4 is not 2, and the whole texts of ``docs(doc_id, text)``."""
-    ship(docs.sparkSession)
-    ids = labels.filter("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    ids = ids.filter(crc_mod(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
-    chance = {c: min(1.0, SAMPLE_DOCS / max(sizes.get(c, 0), 1)) for c in (0, 1)}
-    share = F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id"), 11) / F.lit(float(1 << 53))
-    sampled = ids.filter(share < F.when(F.col("toxic") == 1, chance[1]).otherwise(chance[0]))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(small(sampled), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one")).select("doc_id", "toxic", F.col("one.text").alias("text"))
+def _tallies(names: Iterable[Iterable[str]]) -> Iterator[Counter[str]]:
+    """Counts of names, handed on whenever they are over ``PARTIAL``."""
+    counts: Counter[str] = Counter()
+    for some in names:
+        counts.update(some)
+        if len(counts) > PARTIAL:
+            yield counts
+            counts = Counter()
+    if counts:
+        yield counts
+
+
+def _batch(schema: str, *columns: list) -> pa.RecordBatch:
+    """A batch of the columns of a schema as Spark writes it (long, int, double and string, and arrays of long)."""
+    types = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _mapped(df: DataFrame, schema: str, run: Callable[[Iterator[tuple]], Iterator[tuple[list, ...]]]) -> DataFrame:
+    """``df`` through a function from its rows, one after another, to columns of ``schema``."""
+
+    def batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS))
+        rows = (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns), strict=True))
+        for columns in run(rows):
+            yield _batch(schema, *columns)
+        tk.release()
+
+    return df.mapInArrow(batched, schema)
+
+
+def read(texts: DataFrame) -> DataFrame:
+    """Of ``texts(doc_id, toxic, text)`` what is learned from: words and possibly disguised tokens, a line each, and what tells copies."""
+    schema = "doc_id long, toxic int, hash long, digest long, size int, bands array<long>, plain string, hidden string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tk.slices(batch):
-                lines = ["\n".join(sorted(set((t or "").lower().split()))) for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lines, pa.string())], names=["doc_id", "toxic", "tokens"])
+                out: list[tuple] = []
+                for toxic, text in zip(part.column(1).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    tokens = (text or "").lower().split()
+                    plain, hidden = kinds(set(tokens))
+                    out.append((digest(plain, hidden), len(plain) + len(hidden), bands(tokens) if toxic else [], "\n".join(sorted(plain)), "\n".join(sorted(hidden))))
+                yield _batch(schema, *(part.column(i) for i in range(3)), *map(list, zip(*out, strict=True)))
+
+    return texts.select("doc_id", "toxic", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, schema)
+
+
+def later(rows: DataFrame, key: str, order: Column) -> DataFrame:
+    """``row`` of the rows that are not the first of their key."""
+    firsts = rows.groupBy(key).agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").select(key, "first")
+    return rows.join(small(firsts), key).filter(order != F.col("first")).select("row")
+
+
+def _strings(*columns: str) -> Column:
+    """Bytes of a row of strings, about."""
+    return sum((F.octet_length(c) for c in columns), F.lit(16)).cast("long")
+
+
+def _texts(rows: Iterable[tuple[int, str, str | None]]) -> Iterator[tuple[int, set[str]]]:
+    """(label, distinct words of two letters or more, restored ones too) of (label, words, restored words) rows."""
+    for toxic, plain, extra in rows:
+        yield toxic, {w for w in (plain + "\n" + extra if extra else plain).split("\n") if len(w) > 1}
+
+
+def words_of(rows: DataFrame) -> DataFrame:
+    """(word, n, key) of ``rows(plain)``: the number of rows, and how words of over three letters read when squeezed."""
+    counted = _mapped(rows.select("plain"), "word string, n long", lambda own: ((list(c), list(c.values())) for c in _tallies(plain.split("\n") for (plain,) in own if plain)))
+    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            yield _batch("word string, n long, key string", batch.column(0), batch.column(1), [squeezed(w) if len(w) > 3 else None for w in words])
+
+    return total.mapInArrow(keyed, "word string, n long, key string")
+
+
+def grams_in(words: DataFrame) -> dict[str, int]:
+    """The counts of the character model, of all words."""
+
+    def run(rows: Iterator[tuple[str, int]]) -> Iterator[tuple[list, ...]]:
+        for counts in _tallies(grams_of(Counter({word: n})) for word, n in rows):
+            yield list(counts), list(counts.values())
+
+    found = _mapped(words.select("word", "n"), "gram string, n long", run).groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(found.column("gram").to_pylist(), found.column("n").to_pylist(), strict=True))
+
+
+def undisguised_words(seen: DataFrame, words: DataFrame, grams: dict[str, int]) -> DataFrame:
+    """(row, extra): the training words, a line each, that the tokens of ``seen(row, token)`` restore to.
+
+    A token restores to a training word only if both are the same when squeezed.
+    """
+
+    def keyed(rows: Iterator[tuple[str]]) -> Iterator[tuple[list, ...]]:
+        for counts in _tallies(rows):
+            yield list(counts), [squeezed(t) for t in counts]
+
+    def decoded(rows: Iterator[tuple[str]]) -> Iterator[tuple[list, ...]]:
+        chars = None
+        for counts in _tallies(rows):
+            chars = chars or CharModel(grams)
+            yield list(counts), [undisguised(t, chars) for t in counts]
+
+    alike = _mapped(seen.select("token").distinct(), "token string, key string", keyed).join(words.select("key"), "key", "left_semi")
+    meant = _mapped(alike.select("token"), "token string, word string", decoded).filter("char_length(word) > 1").join(words.select("word"), "word", "left_semi")
+    meant = checkpointed(meant.select("token", "word"), narrow=True)
+    return seen.join(small(meant, size=_strings("token", "word")), "token").groupBy("row").agg(F.concat_ws("\n", F.sort_array(F.collect_set("word"))).alias("extra"))
+
+
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """(feature, n_toxic, n_clean) of ``rows(toxic, plain, extra)``: those of toxic rows that are in ``MIN_DOCS`` rows or more."""
+
+    def run(own: Iterator[tuple]) -> Iterator[tuple[list, ...]]:
+        for counts in _tallies(zip(features(words), repeat(toxic)) for toxic, words in _texts(own)):
+            names, labels = zip(*counts, strict=True)
+            yield list(names), [n if t else 0 for t, n in zip(labels, counts.values(), strict=True)], [0 if t else n for t, n in zip(labels, counts.values(), strict=True)]
+
+    parts = _mapped(rows.select("toxic", "plain", "extra"), "feature string, n_toxic long, n_clean long", run)
+    total = parts.groupBy("feature").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
+    return total.filter((F.col("n_toxic") > 0) & (F.col("n_toxic") + F.col("n_clean") >= MIN_DOCS))
+
+
+def lexicon_of(rows: DataFrame, counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
+    """The lexicon from ``rows(toxic, plain, extra)``, so many of each label, and the counts of their features."""
+    rate, total = rate_of(n_toxic, n_clean), n_toxic + n_clean
+    hopeful = counts.filter(F.col("n_toxic") > (F.col("n_toxic") + F.col("n_clean")) * rate)
+    pairs = [(r["n_toxic"], r["n_clean"], r["count"]) for r in hopeful.groupBy("n_toxic", "n_clean").count().collect()]
+    tails = {(a, b): log_tail(a, a + b, rate, total) for a, b, _ in pairs}
+    others = counts.count() - sum(n for _, _, n in pairs)
+    cut = cut_of([*((tails[a, b], n) for a, b, n in pairs), *([(0.0, others)] if others else [])])
+    passing = [p for p, tail in tails.items() if tail <= cut]
+    if not passing:
+        return {}
+    own = hopeful.join(F.broadcast(counts.sparkSession.createDataFrame(passing, "n_toxic long, n_clean long")), ["n_toxic", "n_clean"]).collect()
+    groups: dict[str, dict[str, tuple[int, int]]] = {}
+    for r in own:
+        groups.setdefault(family(r["feature"]), {})[r["feature"]] = (r["n_toxic"], r["n_clean"])
+
+    def held(rows: Iterator[tuple]) -> Iterator[tuple[list, ...]]:
+        def sets(words: set[str]) -> Iterator[tuple[str, str]]:
+            by: dict[str, list[str]] = {}
+            for f in related(words, groups):
+                if f in groups[family(f)]:
+                    by.setdefault(family(f), []).append(f)
+            return ((group, "\n".join(sorted(found))) for group, found in by.items())
+
+        for tally in _tallies(sets(words) for _, words in _texts(rows)):
+            yield [g for g, _ in tally], [x for _, x in tally], list(tally.values())
+
+    def choose(table: pa.Table) -> pa.Table:
+        sets = [(frozenset(x.split("\n")), n) for x, n in zip(table.column("held").to_pylist(), table.column("n").to_pylist(), strict=True)]
+        found = chosen(groups[table.column("family")[0].as_py()], sets, rate, total, cut)
+        return pa.table({"feature": pa.array(list(found), pa.string()), "weight": pa.array(list(found.values()), pa.float64())})
+
+    sets = _mapped(rows.filter("toxic = 1").select("toxic", "plain", "extra"), "family string, held string, n long", held).groupBy("family", "held").agg(F.sum("n").alias("n"))
+    return {r["feature"]: r["weight"] for r in sets.groupBy("family").applyInArrow(choose, "feature string, weight double").collect()}
+
+
+def without(rows: DataFrame, lexicon: dict[str, float]) -> dict[int, int]:
+    """Of each label how many of ``rows(toxic, plain, extra)`` have no feature of the lexicon."""
+    families = {family(f) for f in lexicon}
+
+    def run(own: Iterator[tuple]) -> Iterator[tuple[list, ...]]:
+        n = Counter(toxic for toxic, words in _texts(own) if lexicon.keys().isdisjoint(related(words, families)))
+        yield list(n), list(n.values())
+
+    return {r["toxic"]: r["n"] for r in _mapped(rows.select("toxic", "plain", "extra"), "toxic int, n long", run).groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from all ``labels(doc_id, toxic)`` of ids whose crc32 modulo 4 is not 2, and the whole texts of ``docs(doc_id, text)``."""
+    spark = docs.sparkSession
+    ship(spark)
+    ids = labels.filter("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    ids = ids.filter(crc_mod(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(crc_mod(F.col("doc_id"), 4) != 2)
+    paths: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = staged(df, f"toxicity-{name}")
+        paths.append(path)
+        return out
 
-    rows = checkpointed(chosen.mapInArrow(run, "doc_id long, toxic int, tokens string"))  # bounded by the sample; read one partition at a time
-    return learned(((r["tokens"].split("\n") if r["tokens"] else [], r["toxic"]) for r in rows.orderBy("doc_id").toLocalIterator()), 1 / chance[0], 1 / chance[1])
+    try:
+        every = kept(read(texts.join(small(ids), "doc_id")).withColumn("row", F.monotonically_increasing_id()), "texts")
+        repeats = checkpointed(later(every, "doc_id", F.struct("hash", "row")), narrow=True)
+        one = every.join(small(repeats), "row", "left_anti")
+        copies = checkpointed(later(one.withColumn("text_key", F.struct("toxic", "digest")), "text_key", F.struct("hash", "doc_id")), narrow=True)
+        unlike = one.join(small(copies), "row", "left_anti")
+        near = checkpointed(later(unlike.filter("toxic = 1").select("row", F.explode("bands").alias("band"), (-F.col("size")).alias("least"), "digest"), "band", F.struct("least", "digest")).distinct(), narrow=True)
+        words = kept(words_of(one), "words")
+        grams = grams_in(words)
+        seen = one.filter("hidden <> ''").select("row", F.explode(F.split("hidden", "\n")).alias("token"))
+        extra = checkpointed(undisguised_words(seen, words, grams), narrow=True)
+        rows = unlike.join(small(near), "row", "left_anti").join(small(extra, size=_strings("extra")), "row", "left").select("toxic", "plain", "extra")
+        sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+        lexicon = lexicon_of(rows, kept(feature_counts(rows), "features"), sizes.get(1, 0), sizes.get(0, 0))
+        left = without(rows, lexicon)
+    finally:
+        for path in paths:
+            forgotten(spark, path)
+    return model_of(lexicon, grams, left.get(1, 0), left.get(0, 0))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

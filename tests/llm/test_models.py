@@ -243,6 +243,53 @@ def test_training_texts_are_restored_before_they_are_counted():
     assert toxicity.learned([], 1.0, 1.0).lexicon == ()
 
 
+def test_every_labelled_document_is_learned_from(spark, make):
+    """More documents of either class than any sample took: each counts, as in memory, copies once and each id once."""
+    filler = ["stone", "river", "cloud", "field", "table", "light"]
+
+    def text(i):
+        own = f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}ish"
+        bad = ("rotten" if i % 7 else "r0tten") if i % 2 == 0 and i % 3 else "vile" if i % 600 == 1 else "calm"
+        return f"{filler[i % 6]} {own} {filler[i * 5 % 6]} {bad} {own}y."
+
+    rows = [(i, text(i)) for i in range(9_000)] + [(20_000 + i, text(3)) for i in range(50)]
+    marks = [(i, 1, int(i % 2 == 0 or i % 600 == 1)) for i, _ in rows]
+    model = toxicity.fit(make(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    learnable = [(t.lower().split(), m) for (i, t), (_, _, m) in zip(rows, marks, strict=True) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sum(1 for _, m in learnable if m) > 2_500 and sum(1 for _, m in learnable if not m) > 2_500
+    plain = [{w for w in (x.strip(toxicity.EDGE) for x in t) if w.isalpha()} for t, _ in learnable]
+    assert sum(n for g, n in model.grams if g[-1] == "$") == sum(map(len, plain))
+    assert model == toxicity.learned(learnable, 1.0, 1.0)
+    bad = {m: len({" ".join(t) for t, own in learnable if own == m and {"rotten", "r0tten"} & set(t)}) for m in (0, 1)}
+    assert bad[0] == 0 and dict(model.lexicon)["w:rotten"] == bad[1] / (bad[1] + 0.5)
+
+
+def test_fit_equals_learning_in_memory(spark, toxic_model):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [((r["text"] or "").lower().split(), r["toxic"]) for r in docs.join(labels, "doc_id").filter("toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 4 != 2").orderBy("doc_id").collect()]
+    assert toxic_model == toxicity.learned(rows, 1.0, 1.0) and toxic_model.lexicon
+
+
+def test_tails_of_draws_from_few_documents_bound_exact_ones():
+    for total, toxic in ((63, 9), (30, 20), (12, 12), (400, 7)):
+        for n in range(1, min(total, 40)):
+            for hits in range(max(1, n - total + toxic), min(n, toxic) + 1):
+                exact = sum(math.comb(toxic, i) * math.comb(total - toxic, n - i) for i in range(hits, min(n, toxic) + 1)) / math.comb(total, n)
+                got = toxicity.log_tail(hits, n, toxicity.rate_of(toxic, total - toxic), total)
+                assert math.log(exact) - 1e-9 <= got <= 0 and (hits < n or got == 0 or math.isclose(got, math.log(exact), abs_tol=1e-9))
+
+
+def test_toxic_near_copies_count_once(spark, make):
+    """Words of a passage that was copied with small changes are not learned; those of as many different texts are."""
+    passage = [f"{a}{b}ent" for a in "bcdfghjklm" for b in "aeiou"]
+    near = [(i, " ".join([*passage[:k], f"{chr(97 + k)}zz", *passage[k + 1 :]])) for i, k in enumerate(range(3, 23))]
+    other = [(100 + i, f"{chr(97 + i)}one {chr(98 + i)}two awful {chr(99 + i)}six {chr(97 + i)}ten") for i in range(20)]
+    clean = [(1000 + i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}day fine calm {chr(97 + i % 26)}sun") for i in range(200)]
+    labels = spark.createDataFrame([(i, 0, int(i < 1000)) for i, _ in near + other + clean], "doc_id long, quality int, toxic int")
+    lexicon = dict(toxicity.fit(make(near + other + clean), labels).lexicon)
+    assert "w:awful" in lexicon and not {"w:" + w for w in passage} & set(lexicon)
+
+
 def test_toxic_documents_of_held_out_rows(spark, toxic_model):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     n = {(r["toxic"], r["predicted"]): r["count"] for r in toxicity.scored(docs, toxic_model).join(labels, "doc_id").filter("held_out").groupBy("toxic", "predicted").count().collect()}
