@@ -28,12 +28,13 @@ null ids are never held out; equal rows score alike, and ties between readings g
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import repeat
 
 import ahocorasick
@@ -290,9 +291,17 @@ class Scorer:
         return 1.0 - left
 
 
-@lru_cache(maxsize=1)
-def scorer(model: Model) -> Scorer:
-    return Scorer(model)
+@contextmanager
+def scorer(model: Model) -> Iterator[Scorer]:
+    """A scorer for one task; idle workers keep nothing of it, since later stages need the memory."""
+    own = Scorer(model)
+    try:
+        yield own
+    finally:
+        own.__dict__.clear()
+        del own
+        gc.collect()
+        tk.release()
 
 
 def _choose(n: int, k: int) -> float:
@@ -474,6 +483,7 @@ def _mapped(df: DataFrame, schema: str, run: Callable[[Iterator[tuple]], Iterato
         rows = (row for part in parts for row in zip(*(c.to_pylist() for c in part.columns), strict=True))
         for columns in run(rows):
             yield _batch(schema, *columns)
+        gc.collect()
         tk.release()
 
     return df.mapInArrow(batched, schema)
@@ -661,9 +671,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", held_out.alias("held_out"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(model)
-        for batch in batches:
-            for part in tk.slices(batch):
+        with scorer(model) as own:
+            for part in (part for batch in batches for part in tk.slices(batch)):
                 scores = [own.score(t) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -676,9 +685,8 @@ def accepted(docs: DataFrame, training_docs: DataFrame, labels: DataFrame) -> Da
     model, at = fit(training_docs, labels), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(model)
-        for batch in batches:
-            for part in tk.slices(batch):
+        with scorer(model) as own:
+            for part in (part for batch in batches for part in tk.slices(batch)):
                 yield part.filter(pa.array([own.score(t) < THRESHOLD for t in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
